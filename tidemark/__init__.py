@@ -1 +1,11 @@
-"""Spark-native table mirror, change applier and read-only SQL gateway."""
+"""Spark-native table mirror, change applier and read-only SQL gateway.
+
+Functions that run in Python workers are pickled by value, so executors need no copy of
+this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
