@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, sharding
+from tidemark.llm import packing, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(documents(spark, sf_dir))
 
 
+def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_rendezvous_sharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_rendezvous_sharding, op6_vector_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
