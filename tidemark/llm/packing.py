@@ -20,11 +20,12 @@ itself; null ids stay null; an empty table gives no rows; other columns are not
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,36 +45,76 @@ PIECES = pa.schema([
 ])
 
 
+#: A full stop or comma between one of these characters and white space is a piece of its own.
+SIGN = r"([A-Za-z0-9À-ÖØ-öø-ÿ])([.,])([ \t\n\r]|$)"
+
+
 class WordTokenizer:
-    """Token ids of white-space-separated words, remembered for a bounded number of them."""
+    """Token ids of white-space-separated words, remembered for a bounded number of them.
+
+    The tokeniser cuts between letters and signs, so final full stops and commas are words
+    apart.  Words of lower-case letters alone are one piece each, which its normaliser and
+    pattern leave as they are: they go through the same model without both, many in one
+    call, and are told apart by the mark of a word's last token.
+    """
+
+    TOGETHER = 200
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.ends = array("i"), array("q", [0])
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.ends, self.count = np.zeros(1 << 14, np.int64), 0
+
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(words) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.ends[self.count + 1 : self.count + 1 + len(words)] = self.used + np.cumsum(lengths)
+        self.known.update(zip(words, range(self.count, self.count + len(words)), strict=True))
+        self.used, self.count = self.used + len(ids), self.count + len(words)
+
+    def learn(self, words: list[str]) -> None:
+        plain, other = [], []
+        for w in words:
+            (plain if w.isalpha() and w == w.lower() and is_normalized("NFC", w) else other).append(w)
+        for i in range(0, len(plain), self.TOGETHER):
+            part = plain[i : i + self.TOGETHER]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.word_end[ids])
+            if len(ends) != len(part):  # some letters are cut after all
+                other += part
+                continue
+            self._remember(part, ids, np.diff(ends, prepend=-1))
+        for i in range(0, len(other), self.TOGETHER):
+            part = other[i : i + self.TOGETHER]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._remember(part, np.array([x for f in found for x in f], np.int32), np.array([len(f) for f in found], np.int64))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start (one more at the end)."""
-        words = coded(texts)
+        words = coded(pc.replace_substring_regex(texts, SIGN, r"\1 \2\3"))
         if len(self.known) > CACHED_WORDS:
             self.clear()
         known = self.known
-        new = [w for w in words.vocabulary if w not in known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = len(self.ends) - 1
-                self.flat.extend(e.ids)
-                self.ends.append(len(self.flat))
-        flat, ends = np.array(self.flat, np.int32), np.array(self.ends, np.int64)
-        at = np.fromiter((known[w] for w in words.vocabulary), np.int64, len(words.vocabulary))[words.codes] if len(words.codes) else np.zeros(0, np.int64)
-        lengths = ends[at + 1] - ends[at]
-        return flat[spread(ends[at], lengths)], np.concatenate([[0], np.cumsum(lengths)])[words.starts]
+        self.learn([w for w in words.vocabulary if w not in known])
+        if not len(words.codes):
+            return np.zeros(0, np.int32), np.zeros(len(words.starts), np.int64)
+        at = np.fromiter(map(known.__getitem__, words.vocabulary), np.int64, len(words.vocabulary))[words.codes]
+        lengths = self.ends[at + 1] - self.ends[at]
+        return self.flat[spread(self.ends[at], lengths)], np.concatenate([[0], np.cumsum(lengths)])[words.starts]
 
 
 class Packer:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 6 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -36,17 +36,25 @@ class Words:
     vocabulary: list[str]
 
 
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
 def coded(texts: pa.Array, lower: bool = False) -> Words:
-    """Words as runs of anything but ASCII white space; ``lower`` maps A-Z only.  Null: no words."""
+    """Words as runs of anything but ASCII white space; ``lower`` maps A-Z only.  Null: no words.
+
+    With ``lower`` the vocabulary may hold a word twice.
+    """
     if pa.types.is_string(texts.type):
         texts = texts.cast(pa.large_string())
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    split = pc.ascii_split_whitespace(texts)
     offsets = split.offsets.to_numpy().astype(np.int64)
     flat = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     codes, vocabulary = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
     keep = np.ones(len(codes), bool)
     if "" in vocabulary:
         keep = codes != vocabulary.index("")
+    if lower:
+        vocabulary = [w.lower() if w.isascii() else w.translate(_LOWER) for w in vocabulary]
     starts = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]]
     return Words(codes[keep].astype(np.int64), starts, vocabulary)
 
