@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality_rules, sharding
+from tidemark.llm import jaccard_join, packing, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +29,12 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, percent=90)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_rendezvous_sharding, op6_vector_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_rendezvous_sharding, op6_vector_packing, op9_jaccard_join, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
