@@ -35,7 +35,7 @@ from tidemark.llm.words import coded, slices, spread
 
 CELL_TOKENS = 2 << 20
 CELL_ROWS = 2048
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 #: Shorter power-of-two lengths are made only at the end of a partition.
 SHORT = 64
 
@@ -60,11 +60,23 @@ class WordTokenizer:
 
     TOGETHER = 200
 
+    @classmethod
+    def of_process(cls, definition: str) -> WordTokenizer:
+        """One per worker process and definition; kept beside the library, as shipped code has no module of its own."""
+        import tokenizers
+
+        loaded = vars(tokenizers).setdefault("_word_tokenizers", {})
+        key = zlib.crc32(definition.encode()), len(definition), CACHED_WORDS
+        if key not in loaded:
+            loaded.clear()
+            loaded[key] = cls(definition)
+        return loaded[key]
+
     def __init__(self, definition: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
-        self.plain.normalizer = None
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -76,6 +88,14 @@ class WordTokenizer:
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.ends, self.count = np.zeros(1 << 14, np.int64), 0
 
+    def forget(self, keep: list[str]) -> None:
+        """Drop all words but these."""
+        at = np.fromiter(map(self.known.__getitem__, keep), np.int64, len(keep))
+        starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
+        ids = self.flat[spread(starts, lengths)]
+        self.clear()
+        self._remember(keep, ids, lengths)
+
     def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -107,7 +127,7 @@ class WordTokenizer:
         """All ids, and where each text's ids start (one more at the end)."""
         words = coded(pc.replace_substring_regex(texts, SIGN, r"\1 \2\3"))
         if len(self.known) > CACHED_WORDS:
-            self.clear()
+            self.forget([w for w in words.vocabulary if w in self.known])
         known = self.known
         self.learn([w for w in words.vocabulary if w not in known])
         if not len(words.codes):
@@ -243,7 +263,7 @@ def pack(
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(definition.value)
+        tokenizer = WordTokenizer.of_process(definition.value)
         packer = Packer(capacity, max_segments, most_loss, TaskContext.get().partitionId() << 36)
         for batch in slices(batches):
             ids, starts = tokenizer.encode(batch.column("text"))

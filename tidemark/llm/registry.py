@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.llm import jaccard_join, packing, quality_rules, sharding
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    decontamination,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +31,25 @@ def op1_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(documents(spark, sf_dir), "doc_id", "text", [1.0] * 40)
 
 
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.score(documents(spark, sf_dir))
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(documents(spark, sf_dir))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how many lines go, which, and the digest of the text that stays."""
+    found = line_dedup.with_kept_text(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text", line_dedup.MIN_LINES, "kept", "gone")
+    return found.select("doc_id", F.size("gone").cast("long").alias("n_removed"), F.array_join("gone", ",").alias("removed_lines"), F.md5("kept").alias("kept_md5"))
+
+
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 poor, 1 good but toxic, 2 good; kept from grade 1."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    return quality_classifier.rate(documents(spark, sf_dir), labels, grade, floor=1)
 
 
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,12 +58,30 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir), n=3, percent=90)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_rendezvous_sharding, op6_vector_packing, op9_jaccard_join, op10_quality_rules)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_rendezvous_sharding, op2_substring_dedup, op3_toxicity, op4_line_dedup, op5_ordinal_quality, op6_vector_packing,
+            op7_benchmark_decontamination, op8_license_scan, op9_jaccard_join, op10_quality_rules,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -73,3 +73,20 @@ def col(name: str) -> Column:
 def small_enough(df: DataFrame, most_rows: int) -> bool:
     """Whether a frame has at most so many rows; reads no more than one row beyond that."""
     return df.limit(most_rows + 1).count() <= most_rows
+
+
+def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the position of each row in the global order of ``order``, from 0.
+
+    One range sort; a partition's first position is the number of rows in those before it.
+    """
+    rows = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__at", F.monotonically_increasing_id())
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    parts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("rows")).collect()  # one row a partition
+    starts, upto = [], 0
+    for part, n in sorted((r[0], r[1]) for r in parts):
+        starts.append((part, upto))
+        upto += n
+    known = df.sparkSession.createDataFrame(starts, "__part long, __start long")
+    at = F.col("__at").bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(known), "__part").withColumn(name, F.col("__start") + at).drop("__at", "__part", "__start")
