@@ -50,7 +50,7 @@ def with_counts(docs: DataFrame, text: str, extra: dict[str, str]) -> DataFrame:
     windows ever share a key, or a text has 2^24 words, the windows' own words are sorted.
     """
     names = {k: extra.get(k) or fresh(docs, k) for k in (*COUNTS, "n_lines")}
-    tmp = {k: fresh(docs, k) for k in ("words", "lines", "keys", "odd")}
+    tmp = {k: fresh(docs, k) for k in ("words", "lines", "keys", "odd", "plain")}
     own = list(docs.columns)
     body, words, keys = F.coalesce(col(text), F.lit("")), F.col(tmp["words"]), F.col(tmp["keys"])
     trimmed = F.btrim(body, F.lit(SPACE))
@@ -74,10 +74,12 @@ def with_counts(docs: DataFrame, text: str, extra: dict[str, str]) -> DataFrame:
     neighbours = lambda x, i: F.coalesce((high(x) == high(F.get(keys, i - 1))) & (three(x) != three(F.get(keys, i - 1))), F.lit(False))
     odd = (F.size(words) >= (1 << _POS_BITS)) | (F.size(F.filter(keys, neighbours)) > 0)
     plain = F.array_sort(F.transform(positions, lambda i: F.struct(F.concat_ws(" ", F.slice(words, i + 1, 3)).alias("k"), i.alias("p"))))
-    return docs.withColumn(tmp["odd"], odd).select(
+    docs = docs.withColumn(tmp["odd"], odd)
+    docs = docs.withColumn(tmp["plain"], F.when(F.col(tmp["odd"]), plain))
+    return docs.select(
         *[col(c) for c in own],
         *[F.col(names[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines")],
-        F.when(F.col(tmp["odd"]), _covered(plain, lambda x: x["k"], lambda x: x["p"])).otherwise(_covered(keys, high, low)).cast("long").alias(names["n_repeat_words"]),
+        F.when(F.col(tmp["odd"]), _covered(F.col(tmp["plain"]), lambda x: x["k"], lambda x: x["p"])).otherwise(_covered(keys, high, low)).cast("long").alias(names["n_repeat_words"]),
         F.col(names["n_lines"]),
     )
 
