@@ -164,6 +164,8 @@ def _overlaps(flat: np.ndarray, row: np.ndarray, rows: int, a: np.ndarray, b: np
 
 def _verify(rule: Rule, key: tuple, table: pa.Table) -> pa.Table:
     """Links of a pair of blocks: rows (id, other, links); ``other`` leads to the id's component."""
+    once = np.unique(table.column("id").to_numpy(), return_index=True)[1]  # rows that repeat an id
+    table = table.take(pa.array(once))
     ids, size, weight = (table.column(c).to_numpy() for c in ("id", "n", "weight"))
     block, sets = table.column("block").to_numpy(), table.column("set").combine_chunks()
     flat = sets.flatten().to_numpy(zero_copy_only=False)
@@ -225,7 +227,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = F.broadcast(wanted)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for names, found in sets_of(batches, n):
+            new = [i for i, name in enumerate(names) if (name, len(found[i])) not in seen and not seen.add((name, len(found[i])))]
+            names, found = [names[i] for i in new], [found[i] for i in new]
             values = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)]).astype(np.int32), np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), values], ["id", "set"])
 

@@ -18,19 +18,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import col, cut
 
-#: Spellings held to be the same, as whole words, in the order of replacement.
+#: Spellings held to be the same, wherever they stand, in the order of replacement.
 SPELLINGS = (
     ("licence", "license"),
-    ("licenced", "licensed"),
-    ("sublicence", "sublicense"),
+    ("sub license", "sublicense"),
     ("organisation", "organization"),
     ("authorised", "authorized"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
     ("copyright holder", "copyright owner"),
-    ("copyright holders", "copyright owners"),
     ("non infringement", "noninfringement"),
-    ("sub license", "sublicense"),
     ("per cent", "percent"),
     ("https", "http"),
 )
@@ -91,7 +88,7 @@ def canonical(text: Column) -> Column:
     out = _without_copyright(F.lower(text))
     out = F.btrim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     for old, new in SPELLINGS:
-        out = F.when(out.contains(old), F.regexp_replace(out, rf"\b{old}\b", new)).otherwise(out)
+        out = F.replace(out, F.lit(old), F.lit(new))
     return out
 
 
