@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import SPACE, col, cut, fresh, ranked, stage
 
 MIN_LINES = 2
+#: Texts to change, and line numbers in them, that may be broadcast: 40 and 4 bytes each, so under 30 MB.
+BROADCAST_TEXTS = 300_000
+BROADCAST_LINES = 4_000_000
 _NULL_ID = -(1 << 63)
 
 
@@ -82,7 +85,10 @@ def with_kept_text(docs: DataFrame, id_col: str, text_col: str, min_lines: int,
     """``docs`` with the text without later copies and the line numbers left out."""
     found = later_copies(docs, id_col, text_col, min_lines)
     names = {c: fresh(docs, c) for c in ("id", "print")}
-    found = found.select(F.col("id").alias(names["id"]), F.col("print").alias(names["print"]), F.col("gone").alias(gone))
+    found = cut(found.select(F.col("id").alias(names["id"]), F.col("print").alias(names["print"]), F.col("gone").alias(gone)))
+    texts, numbers = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(gone)), F.lit(0))).first()
+    if texts <= BROADCAST_TEXTS and numbers <= BROADCAST_LINES:
+        found = F.broadcast(found)  # else the texts are shuffled by id
     joined = docs.join(found, (_id(id_col) == F.col(names["id"])) & (_print(text_col) == F.col(names["print"])), "left")
     lines = F.split(col(text_col), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
