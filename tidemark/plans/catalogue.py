@@ -6,16 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
-
+from tidemark.plans import mirror_queries, sql_queries
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+Query = Callable[[SparkSession, str], DataFrame]
+flagship = mirror_queries.flagship
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(mirror_queries.QUERIES) | sql_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(mirror_queries.ORACLE) | sql_queries.oracle_sql()
