@@ -7,9 +7,15 @@ Candidates.  Two sets of sizes a and b with similarity t or more differ in at mo
 ``h = (1 - t) / (1 + t) * (a + b)`` n-grams.  Cut the order into ``h + 1 + slack`` fragments:
 then more than ``slack`` fragments agree.  Sizes fall in classes of ratio t; a set is cut
 once for its own class and once for the next, as its partners are in the same or a
-neighbouring class.  Sets that agree in a fragment share a key.  Fragments of few n-grams
-would agree by chance, so they give no key while a set has at most ``slack`` of them; a set
-that has more gives keys for all, empty fragments included, so no pair is lost.
+neighbouring class.  Sets that agree in a fragment share a key.
+
+Fragments that many unrelated sets share give no key: each set leaves out its ``slack``
+commonest fragments (those strictly commoner than the next one).  How common a fragment is
+depends on its content alone: empty ones come first, then those whose rarest n-gram is the
+most frequent, then the shortest.  So of two near sets the one with the lower limit leaves
+out at most ``slack`` agreeing fragments, another one agrees, and the other set keeps it
+too: no pair is lost, whatever the frequencies are.  They come from counts per partition,
+of which the largest ``HOT_GRAMS`` are kept.
 
 Counting.  Sets that share keys form clusters.  A cluster is dealt into blocks of bounded
 size, every pair of blocks is one group, and in it the overlaps are counted fragment by
@@ -47,6 +53,12 @@ BLOCK_TOKENS = 400_000
 BROADCAST_IDS = 1_000_000
 #: Keys gathered in a worker before they are reduced and sent.
 HELD_KEYS = 1_000_000
+#: n-grams whose counts are kept and broadcast, 16 bytes each; others count as rare.
+HOT_GRAMS = 200_000
+#: n-grams in fewer sets of a partition are not counted.
+LEAST_SETS = 4
+#: n-grams gathered in a worker before they are counted.
+COUNTED_GRAMS = 4_000_000
 #: Cells of one fragment's incidence matrix.
 CELLS = 2 << 20
 
@@ -73,29 +85,30 @@ class Rule:
     def size_class(self, size: int) -> int:
         return int(math.log(size) / math.log(100 / self.percent) + 1e-9)
 
-    def cuts(self, group: int) -> tuple[int, int, int]:
-        """Fragments, slack and the most n-grams of a weak fragment for sets of a class and the one below."""
+    def cuts(self, group: int) -> tuple[int, int]:
+        """Fragments and slack for sets of a class and the one below."""
         largest = math.floor((100 / self.percent) ** (group + 1) + 1e-6)
         differ = (100 - self.percent) * 2 * largest // (100 + self.percent)
-        wide = self.percent >= 88  # about nine n-grams a fragment; else four
-        slack = differ // 20 if wide else 4 + differ // 8
-        return differ + 1 + slack, slack, 2 if wide else 0
+        slack = 1 + differ // 12 if self.percent >= 88 else 4 + differ // 8  # about nine n-grams a fragment, or four
+        return differ + 1 + slack, slack
 
-    def keys(self, found: np.ndarray) -> np.ndarray:
+    def keys(self, found: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """The keys of a set; ``times``: how common each n-gram is."""
         size = len(found)
         if not size or (100 - self.percent) * (size + size * 100 // self.percent) < 100 + self.percent:
             return found[:0]  # no different set is near enough
         out, spread_out, own = [], mix(found), self.size_class(size)
         for group in (own, own + 1):
-            parts, slack, weak = self.cuts(group)
+            parts, slack = self.cuts(group)
             part = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             starts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
-            lengths = np.diff(np.append(starts, size))
             sums, names = np.add.reduceat(spread_out, starts), part[starts]
-            thin = lengths <= weak
-            if parts - len(starts) + int(thin.sum()) <= slack:
-                sums, names = sums[~thin], names[~thin]
-            elif parts > len(starts):
+            spare = slack - (parts - len(starts))  # empty fragments are the commonest
+            if spare >= 0:
+                common = np.minimum.reduceat(times, starts) * 64 + np.maximum(0, 63 - np.diff(np.append(starts, size)))
+                limit = np.partition(common, len(common) - 1 - spare)[len(common) - 1 - spare]
+                sums, names = sums[common <= limit], names[common <= limit]
+            else:
                 empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), names)
                 sums, names = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([names, empty])
             out.append(mix(sums + mix(names + np.uint64(group << 40))))
@@ -119,7 +132,27 @@ def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(out_key.view(np.int64)), pa.array(out_id)], ["key", "id"])
 
 
-def _candidate_edges(narrow: DataFrame, rule: Rule) -> DataFrame:
+def _frequent(parts: list[np.ndarray]) -> pa.RecordBatch:
+    """Counts of n-grams in the form of the profile's rows: n is -1, x the n-gram, y its count."""
+    gram, times = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_counts=True)
+    gram, times = gram[times >= LEAST_SETS], times[times >= LEAST_SETS]
+    none = pa.nulls(len(gram), pa.int64())
+    return pa.RecordBatch.from_arrays([none, pa.array(np.full(len(gram), -1)), pa.array(gram.view(np.int64)), pa.array(times)], ["id", "n", "x", "y"])
+
+
+def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame) -> DataFrame:
+    rows = hot.groupBy("x").agg(F.sum("y").alias("y")).orderBy(F.desc("y"), "x").limit(HOT_GRAMS).toArrow()
+    gram, times = rows.column("x").to_numpy().view(np.uint64), rows.column("y").to_numpy()
+    order = np.argsort(gram)
+    table = narrow.sparkSession.sparkContext.broadcast((gram[order], times[order]))
+
+    def commonness(own: np.ndarray) -> np.ndarray:
+        gram, times = table.value
+        if not len(gram):
+            return np.zeros(len(own), np.int64)
+        at = np.minimum(np.searchsorted(gram, own), len(gram) - 1)
+        return np.where(gram[at] == own, times[at], 0)
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held, seen = [], [], 0, set()
         for names, found in sets_of(batches, rule.n):
@@ -128,7 +161,7 @@ def _candidate_edges(narrow: DataFrame, rule: Rule) -> DataFrame:
                 if mark is None or mark in seen or name is None:
                     continue  # copies of a set seen in this partition; the set's class has them
                 seen.add(mark)
-                k = rule.keys(own)
+                k = rule.keys(own, commonness(own))
                 if len(k):
                     keys.append(k)
                     ids.append(np.full(len(k), name, np.int64))
@@ -202,17 +235,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     narrow = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for names, found in sets_of(batches, n):
+            held += found
+            size += sum(map(len, found))
+            if size >= COUNTED_GRAMS:
+                yield _frequent(held)
+                held, size = [], 0
             x = [int(mix(s).sum()) for s in found]
             y = [int(mix(s ^ np.uint64(0x5DEECE66D)).sum()) for s in found]
             prints = (pa.array(np.array(v, np.uint64).view(np.int64)) for v in (x, y))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([len(s) for s in found], pa.int64()), *prints], ["id", "n", "x", "y"])
+        yield _frequent(held)
 
-    texts = cut(narrow.mapInArrow(profile, "id long, n long, x long, y long"))
+    profiled = cut(narrow.mapInArrow(profile, "id long, n long, x long, y long"))
+    texts, hot = profiled.where("n >= 0"), profiled.where("n = -1").select("x", "y")
     classes = cut(texts.where("n > 0").groupBy("n", "x", "y").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")))
     texts = cut(texts.join(classes, ["n", "x", "y"], "left").select("id", "n", "rep", "weight"))
 
-    edges = cut(_candidate_edges(narrow, rule))
+    edges = cut(_candidate_edges(narrow, rule, hot))
     rep = texts.where("rep is not null").groupBy("id").agg(F.min("rep").alias("rep"))
     for end in ("id", "hub"):
         edges = edges.join(rep.select(F.col("id").alias(end), F.col("rep").alias(f"{end}_rep")), end).drop(end)
