@@ -27,27 +27,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import col, cut
-from tidemark.llm.subwords import ngrams, text_sums
+from tidemark.llm.subwords import frequent, ngrams, text_sums
 from tidemark.llm.words import Words, coded, slices
 
-SIZES = (1, 2, 3, 4)
+SIZES = (1, 2, 3)
 BITS = 18
-PER_GRADE = 2000
+PER_GRADE = 800
 STEPS = 150
 RATE = 0.05
 PENALTY = 1e-4
+REPEAT_SCALE = 10.0
 #: n-grams in fewer training texts are left out.
 LEAST_TEXTS = 5
 
 
 def _repeats(words: Words) -> np.ndarray:
-    """The share of a text's words that equal the word before."""
+    """The share of a text's words that equal the word before, times REPEAT_SCALE."""
     same = np.zeros(len(words.codes) + 1)
     same[1:-1] = words.codes[1:] == words.codes[:-1] if len(words.codes) else 0
     inner = words.starts[:-1][words.starts[:-1] < len(words.codes)]
     same[inner] = 0  # the first word of a text has none before
     upto = np.concatenate([[0.0], np.cumsum(same[: len(words.codes)])])
-    return (upto[words.starts[1:]] - upto[words.starts[:-1]]) / np.maximum(np.diff(words.starts), 1)
+    return REPEAT_SCALE * (upto[words.starts[1:]] - upto[words.starts[:-1]]) / np.maximum(np.diff(words.starts), 1)
 
 
 @dataclass
@@ -76,15 +77,11 @@ def train(texts: pa.Array, grade: np.ndarray) -> Model:
         return Model(np.zeros(1 << BITS, np.float32), 0.0, np.zeros(0), grades if len(grades) else np.zeros(1, np.int64))
     words = coded(texts)
     size, rows, levels = len(words.vocabulary), len(grade), len(grades)
-    bucket, owner = ngrams(words.vocabulary, SIZES, BITS, marks=True)
     row = np.repeat(np.arange(rows), np.diff(words.starts))
     pairs, times = np.unique(row * size + words.codes, return_counts=True)
     row, code = pairs // size, pairs % size
-    seen = np.bincount(bucket, np.bincount(code, minlength=size)[owner], 1 << BITS)
-    length = np.maximum(np.bincount(row, times * np.bincount(owner, minlength=size)[code], rows), 1)
-    keep = seen[bucket] >= LEAST_TEXTS
-    names, at = np.unique(bucket[keep], return_inverse=True)
-    owner, part, repeats = owner[keep], times / length[row], _repeats(words)
+    names, at, owner, grams = frequent(words.vocabulary, np.bincount(code, minlength=size), LEAST_TEXTS, SIZES, BITS, marks=True)
+    part, repeats = times / np.maximum(np.bincount(row, times * grams[code], rows), 1)[row], _repeats(words)
     own = np.searchsorted(grades, grade)
     weight = 1 / np.bincount(own)[own] / levels
     # Averages are small numbers: features are scaled by the root of their mean share, so that all learn alike.

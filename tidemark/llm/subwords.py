@@ -45,6 +45,34 @@ def ngrams(vocabulary: list[str], sizes: tuple[int, ...], bits: int, marks: bool
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+#: Words whose n-grams are made at once in training.
+CHUNK_WORDS = 20_000
+
+
+def frequent(vocabulary: list[str], texts: np.ndarray, least: float, sizes: tuple[int, ...], bits: int, marks: bool = False):
+    """The n-grams of a vocabulary whose words occur in at least ``least`` texts in sum (``texts``: by word).
+
+    Returns the buckets, for each n-gram kept the index of its bucket and its word, and the
+    number of all n-grams of each word.  The rare ones, most of all, are never held together.
+    """
+    parts = range(0, len(vocabulary), CHUNK_WORDS)
+    seen, length = np.zeros(1 << bits), np.zeros(len(vocabulary))
+    for i in parts:
+        bucket, owner = ngrams(vocabulary[i : i + CHUNK_WORDS], sizes, bits, marks)
+        seen += np.bincount(bucket, texts[i + owner], 1 << bits)
+        length[i : i + CHUNK_WORDS] = np.bincount(owner, minlength=len(vocabulary[i : i + CHUNK_WORDS]))
+    buckets, owners = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for i in parts:
+        bucket, owner = ngrams(vocabulary[i : i + CHUNK_WORDS], sizes, bits, marks)
+        keep = seen[bucket] >= least
+        buckets.append(bucket[keep].astype(np.int32))
+        owners.append((i + owner[keep]).astype(np.int32))
+    names = np.flatnonzero(seen >= least)
+    place = np.zeros(1 << bits, np.int32)
+    place[names] = np.arange(len(names))
+    return names, place[np.concatenate(buckets)], np.concatenate(owners), length
+
+
 def text_sums(words: Words, per_word: np.ndarray) -> np.ndarray:
     """The sum over each text's words."""
     upto = np.concatenate([[0.0], np.cumsum(per_word[words.codes])])

@@ -27,24 +27,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import col, cut
-from tidemark.llm.subwords import ngrams, text_sums
-from tidemark.llm.words import coded, slices
+from tidemark.llm.subwords import frequent, ngrams
+from tidemark.llm.words import Words, coded, slices
 
-SIZES = (3, 4, 5, 6)
+SIZES = (3, 4, 5)
 BITS = 20
 DIMENSIONS = 8
-PER_CLASS = 2000
-STEPS = 60
+PER_CLASS = 1500
+STEPS = 100
+#: Neutral n-grams that every text is taken to have besides its own, so that a few words prove little.
+PADDING = 300.0
 RATE = 0.15
 DECAY = 0.0
-#: n-grams in fewer training texts are left out, as are those in less than a thousandth part of LEAST_SHARE.
+#: n-grams in fewer training texts, or in fewer than LEAST_SHARE of a thousand, are left out.
 LEAST_TEXTS = 5
 LEAST_SHARE = 2
 
 
+def damped(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, word and weight of each distinct word of each text: a word said n times counts 1 + ln n times."""
+    size = max(len(words.vocabulary), 1)
+    pairs, times = np.unique(np.repeat(np.arange(len(words.starts) - 1), np.diff(words.starts)) * size + words.codes, return_counts=True)
+    return pairs // size, pairs % size, 1 + np.log(times)
+
+
 @dataclass
 class Model:
-    """logit(toxic) = bias + mean of ``weights`` over the n-grams of a text."""
+    """logit(toxic) = bias + mean of ``weights`` over the n-grams of a text and the padding."""
 
     weights: np.ndarray
     bias: float
@@ -53,9 +62,10 @@ class Model:
         words = coded(texts)
         bucket, owner = ngrams(words.vocabulary, SIZES, BITS)
         size = len(words.vocabulary)
-        total = text_sums(words, np.bincount(owner, self.weights[bucket], size))
-        count = text_sums(words, np.bincount(owner, minlength=size).astype(float))
-        return 1 / (1 + np.exp(-np.clip(self.bias + total / np.maximum(count, 1), -50, 50)))
+        row, code, times = damped(words)
+        total = np.bincount(row, times * np.bincount(owner, self.weights[bucket], size)[code], len(texts))
+        count = np.bincount(row, times * np.bincount(owner, minlength=size)[code], len(texts))
+        return 1 / (1 + np.exp(-np.clip(self.bias + total / (count + PADDING), -50, 50)))
 
 
 def train(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
@@ -65,16 +75,10 @@ def train(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
         return Model(np.zeros(1 << BITS, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     words = coded(texts)
     size, rows = len(words.vocabulary), len(toxic)
-    bucket, owner = ngrams(words.vocabulary, SIZES, BITS)
-    row = np.repeat(np.arange(rows), np.diff(words.starts))
-    pairs, times = np.unique(row * size + words.codes, return_counts=True)
-    row, code = pairs // size, pairs % size
-    # Texts per n-gram, counted over distinct words: at least the number of texts that have it.
-    seen = np.bincount(bucket, np.bincount(code, minlength=size)[owner], 1 << BITS)
-    length = np.maximum(np.bincount(row, times * np.bincount(owner, minlength=size)[code], rows), 1)
-    keep = seen[bucket] >= max(LEAST_TEXTS, LEAST_SHARE * rows // 1000)
-    names, at = np.unique(bucket[keep], return_inverse=True)
-    owner = owner[keep]
+    row, code, times = damped(words)
+    least = max(LEAST_TEXTS, LEAST_SHARE * rows // 1000)
+    names, at, owner, grams = frequent(words.vocabulary, np.bincount(code, minlength=size), least, SIZES, BITS)
+    length = np.bincount(row, times * grams[code], rows) + PADDING
     part = times / length[row]  # an n-gram's share in its text
 
     rng = np.random.default_rng(seed)
