@@ -34,6 +34,7 @@ class Gateway:
         self.catalog, self.max_rows, self.timeout_s = catalog, max_rows if max_rows > 0 else MAX_ROWS, timeout_s if timeout_s > 0 else TIMEOUT_S
         self.spark.conf.set("spark.sql.ansi.enabled", "true")
         self.spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+        self.spark.conf.set("spark.sql.runSQLOnFiles", "false")
         if catalog is not None:
             from tidemark.operators.store import Catalog
 

@@ -222,7 +222,7 @@ def change_log(spark, sf_dir) -> DataFrame:
     )
 
 
-_USERS = T.StructType.fromDDL("user_id bigint, event_id bigint, event_type string, value double")
+_USERS = T.StructType().add("user_id", T.LongType()).add("event_id", T.LongType()).add("event_type", T.StringType()).add("value", T.DoubleType())
 
 
 def cdc_stream_equals_batch(spark, sf_dir):

@@ -20,13 +20,15 @@ REFUSED = (
 
 #: Plan nodes that change nothing, as Spark's parser names them.
 READING = {
-    "Project", "Filter", "Aggregate", "Sort", "GlobalLimit", "LocalLimit", "LimitAll", "Limit", "Offset", "Tail", "Distinct", "Union", "Intersect", "Except",
+    "Project", "Filter", "Aggregate", "Sort", "GlobalLimit", "LocalLimit", "LimitAll", "Limit", "Offset", "Tail", "Distinct", "Union", "Intersect", "Intersect All", "Except", "Except All",
     "Join", "LateralJoin", "SubqueryAlias", "UnresolvedSubqueryColumnAliases", "UnresolvedRelation", "UnresolvedInlineTable", "OneRowRelation", "Range",
     "UnresolvedWith", "WithCTE", "CTERelationDef", "CTERelationRef", "UnresolvedCTERelationPlans", "Generate", "Window", "WithWindowDefinition", "Pivot", "Unpivot",
     "UnresolvedHaving", "Sample", "LocalRelation", "UnresolvedTableValuedFunction", "UnresolvedTVFAliases", "Expand", "UnresolvedHint",
     "UnionLoop", "UnionLoopRef", "RepartitionByExpression", "RebalancePartitions", "Subquery", "AsOfJoin", "UnresolvedOrdinal", "PipeExpression",
     "ShowTables", "ShowColumns", "DescribeRelation", "DescribeQueryCommand", "ExplainCommand", "UnresolvedTableOrView", "UnresolvedNamespace", "CurrentNamespace",
 }
+#: Formats whose files Spark reads by path in the place of a table.
+FORMATS = {"csv", "json", "parquet", "orc", "text", "avro", "xml", "binaryfile", "image", "libsvm", "jdbc", "delta", "iceberg", "hudi"}
 _FUNCTIONS = re.compile(r"'?\b(?:reflect|java_method|try_reflect|read_files)\s*\(", re.I)
 
 
@@ -80,12 +82,13 @@ def check(spark: SparkSession, sql: str) -> None:
     except Exception as e:
         raise Refused(str(getattr(e, "desc", None) or getattr(e, "java_exception", None) or e).split("\n")[0]) from None
     for node in _walk(plan):
-        name = node.nodeName().lstrip("'")
+        name = node.nodeName().strip("'$")
         if name not in READING:
             raise Refused(f"only queries are allowed, not {name}")
         if name == "UnresolvedRelation":
             parts = node.multipartIdentifier()
-            if any("/" in parts.apply(i) or "\\" in parts.apply(i) for i in range(parts.size())):
+            names = [parts.apply(i) for i in range(parts.size())]
+            if any("/" in n or "\\" in n or ":" in n for n in names) or (len(names) > 1 and names[0].lower() in FORMATS):
                 raise Refused("files cannot be read by path")
         if name == "Join" and "POSITIONAL" in text.upper() and re.search(r"\bPOSITIONAL\s+JOIN\b", text, re.I):
             raise Refused("positional joins are not supported")

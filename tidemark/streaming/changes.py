@@ -29,9 +29,10 @@ from tidemark.sources.config import Scope
 
 log = logging.getLogger("tidemark")
 
-CHANGELOG = T.StructType.fromDDL(
-    "seq bigint, file string, pos bigint, gtid string, db string, tbl string, kind string, before string, after string, ddl_sql string"
-)
+CHANGELOG = T.StructType([
+    T.StructField(name, T.LongType() if name in ("seq", "pos") else T.StringType())
+    for name in ("seq", "file", "pos", "gtid", "db", "tbl", "kind", "before", "after", "ddl_sql")
+])
 
 
 @dataclass
