@@ -59,13 +59,15 @@ class Gateway:
     def query(self, sql: str, limit: int | None = None) -> Result:
         """Run one statement; TimeoutError when it takes too long.  Of columns of one name the last counts."""
         began, tag, late = time.time(), f"gateway-{uuid.uuid4().hex}", threading.Event()
+        context = self.spark.sparkContext
 
         def stop() -> None:
             late.set()
-            self.spark.interruptTag(tag)
+            context.cancelJobsWithTag(tag)
 
         timer = threading.Timer(self.timeout_s, stop)
-        self.spark.addTag(tag)
+        context.addJobTag(tag)
+        context.setInterruptOnCancel(True)
         timer.start()
         try:
             frame = self.frame(sql, limit)
@@ -78,5 +80,6 @@ class Gateway:
             raise
         finally:
             timer.cancel()
-            self.spark.removeTag(tag)
+            context.setInterruptOnCancel(False)
+            context.removeJobTag(tag)
         return Result(frame.columns, rows, time.time() - began)

@@ -106,16 +106,16 @@ class Applier:
         return puts.unionByName(gone).unionByName(moved).select(*[F.col(f"`{c}`") for c in columns], SEQ, OP)
 
     def _ddl(self, sql: str, default: str, number: int | None, seq: int) -> None:
-        for change in ddl.parse(sql, default, self.mode) or []:
+        for place, change in enumerate(ddl.parse(sql, default, self.mode) or []):
             if change.kind == ddl.OTHER or not self.scope.has(change.schema, change.table):
                 continue
             table = self.catalog.get(change.schema, change.table)
-            if table is not None and table.position and (table.position.get("ddl") or -1) >= seq:
+            if table is not None and table.position and (table.position.get("ddl") or [-1, 0]) >= [seq, place]:
                 continue  # delivered before
             made = self._change(change, sql, table)
             if made is not None:
                 # A schema change is a version of its own; its place in the stream is kept so that it happens once.
-                position = merged(made.position, dict(made.position or {}) | {"ddl": seq})
+                position = merged(made.position, dict(made.position or {}) | {"ddl": [seq, place]})
                 self.catalog.commit(made.__class__(**made.__dict__ | {"position": position}), made.schema, made.table)
 
     def _change(self, change: ddl.Change, sql: str, table):
