@@ -12,6 +12,7 @@ from tidemark.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    oracles,
     packing,
     quality_classifier,
     quality_rules,
@@ -85,4 +86,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.all_sql()
