@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import col, cut
+from tidemark.llm.shared import bounded_batches, col, cut
 from tidemark.llm.words import coded, slices, spread
 
 THRESHOLD = 0.5
@@ -204,7 +204,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per text and test item found in it: id, item_id, score, question_overlap, answer_overlap."""
     spark = docs.sparkSession
-    narrow = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     schema = "id long, item_id long, score double, question_overlap double, answer_overlap double"
     total = benchmark.count()
     shards = -(-total // SHARD_ITEMS)

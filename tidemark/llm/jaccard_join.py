@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import col, cut, small_enough
+from tidemark.llm.shared import bounded_batches, col, cut, small_enough
 from tidemark.llm.words import chained, coded, mix, slices, word_hashes
 
 BLOCK_SETS = 512
@@ -58,7 +58,7 @@ HOT_GRAMS = 200_000
 #: n-grams in fewer sets of a partition are not counted.
 LEAST_SETS = 4
 #: n-grams gathered in a worker before they are counted.
-COUNTED_GRAMS = 4_000_000
+COUNTED_GRAMS = 2_000_000
 #: Cells of one fragment's incidence matrix.
 CELLS = 2 << 20
 
@@ -232,7 +232,7 @@ def _verify(rule: Rule, key: tuple, table: pa.Table) -> pa.Table:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
     """One row per text: id, n_shingles, component_id (least linked id) and n_links (texts directly linked)."""
     rule = Rule(n, percent)
-    narrow = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

@@ -30,12 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import col
+from tidemark.llm.shared import bounded_batches, col
 from tidemark.llm.words import coded, slices, spread
 
 CELL_TOKENS = 2 << 20
 CELL_ROWS = 2048
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 #: Shorter power-of-two lengths are made only at the end of a partition.
 SHORT = 64
 
@@ -256,7 +256,7 @@ def pack(
     with open(tokenizer_path, encoding="utf-8") as f:  # a fixed file of the driver, of 2 MB
         definition = spark.sparkContext.broadcast(f.read())
     most_loss = capacity if max_loss is None else max_loss
-    narrow = docs.select(
+    narrow = bounded_batches(docs).select(
         col(id_col).cast("long").alias("id"),
         F.coalesce(col(text_col), F.lit("")).alias("text"),
         *([F.coalesce(col(prompt_col), F.lit("")).alias("prompt")] if prompt_col else []),

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import col, cut
+from tidemark.llm.shared import bounded_batches, col, cut
 from tidemark.llm.subwords import frequent, ngrams, text_sums
 from tidemark.llm.words import Words, coded, slices
 
@@ -125,7 +125,7 @@ def rate(docs: DataFrame, rated: DataFrame, grade: Column, id_col: str = "doc_id
     ``grade`` is an integer column expression over ``rated``; the tail begins ``floor`` grades
     below the best (but above the worst).
     """
-    narrow = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     known = rated.select(col(id_col).cast("long").alias("id"), grade.cast("int").alias("y")).where("id is not null and y is not null")
     known = cut(known.groupBy("id").agg(F.min("y").alias("y")))
     grades = sorted(r.y for r in known.select("y").distinct().collect())  # a rating scale: a handful

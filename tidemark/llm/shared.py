@@ -32,6 +32,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of an Arrow batch between the JVM and Python workers; both sides hold a few at once.
+BATCH_BYTES = "8m"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session told to cut Arrow batches of texts small, unless it has a setting of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == "67108864b":  # Spark's default
+        conf.set(name, BATCH_BYTES)
+    return df
+
+
 _staged: list[str] = []
 
 

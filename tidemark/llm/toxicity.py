@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import col, cut
+from tidemark.llm.shared import bounded_batches, col, cut
 from tidemark.llm.subwords import frequent, ngrams
 from tidemark.llm.words import Words, coded, slices
 
@@ -122,7 +122,7 @@ def sample(labels: DataFrame, id_col: str, label: str, per_class: int) -> DataFr
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
     """One row per text: id, held_out, score and predicted."""
-    narrow = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     picked = narrow.join(F.broadcast(sample(labels, id_col, label, per_class)), "id")  # bounded by per_class
     data = picked.select("id", "text", "y").toArrow().sort_by("id")
     toxic = data.column("y").to_numpy()

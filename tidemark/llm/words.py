@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text is a slice of its own.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -25,6 +25,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             end = max(at + 1, int(np.searchsorted(upto, before + most, "right")))
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 @dataclass
