@@ -187,6 +187,16 @@ def test_snapshot(spark, tmp_path, sf_dir):
     assert catalog.get("demo", "nation").version == version or catalog.read("demo", "nation").count() == 25
 
 
+def test_progress(spark):
+    from tidemark.sources.progress import Watch, percent
+
+    assert [percent(0, 0), percent(1, 3), percent(3, 3), percent(3, 3, True)] == [0.0, 33.3, 99.9, 100.0]
+    with Watch(spark, "t", 10, 0.01) as watch:
+        spark.range(10).repartition(2).count()
+        done, total = watch.shares()
+    assert 0 < done <= total
+
+
 def test_engine(spark, tmp_path, sf_dir):
     from tidemark.engine import Engine
 

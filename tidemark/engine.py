@@ -43,7 +43,7 @@ class Engine:
         mode = start_mode(self.position())
         log.info("start: %s", mode)
         if mode == "snapshot":
-            snapshot(self.catalog, self.source, self.settings.sync.dump_concurrency, lambda t, n, s: log.info("%s: about %d rows in %.1f s", t, n, s))
+            snapshot(self.catalog, self.source, self.settings.sync.dump_concurrency)
         if changes:
             known = {(t.schema, t.name): (t.struct, t.key) for t in self.source.tables()}
             applier = Applier(self.catalog, self.settings.scope, lookup=lambda d, t: known.get((d, t)))

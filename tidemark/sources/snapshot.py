@@ -8,8 +8,7 @@ of driver threads; a table's version is committed only when all its ranges were
 from __future__ import annotations
 
 import logging
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Protocol
@@ -23,6 +22,7 @@ from tidemark.operators.apply import shaped
 from tidemark.operators.ranges import Range, plan_ranges, ranges_of
 from tidemark.operators.store import Catalog, Manifest
 from tidemark.sources.config import Scope, Source
+from tidemark.sources.progress import Watch
 
 log = logging.getLogger("tidemark")
 
@@ -156,7 +156,7 @@ class JdbcSource:
         return {"file": "", "pos": 0, "gtid": gtid.replace("\n", "")}
 
 
-def snapshot(catalog: Catalog, source: TableSource, parts: int = 4, report: Callable[[str, int, float], None] | None = None) -> dict[tuple[str, str], Manifest]:
+def snapshot(catalog: Catalog, source: TableSource, parts: int = 4) -> dict[tuple[str, str], Manifest]:
     """Copy every table of the source; returns the version committed for each.
 
     The position is taken first, so changes made meanwhile are replayed on top.  The first
@@ -166,7 +166,6 @@ def snapshot(catalog: Catalog, source: TableSource, parts: int = 4, report: Call
     tables = source.tables()
 
     def copy(table: Table) -> Manifest:
-        began = time.time()
         catalog.create(table.schema, table.name, table.struct, table.key)
         try:
             ranges = source.ranges(table, parts)
@@ -174,10 +173,8 @@ def snapshot(catalog: Catalog, source: TableSource, parts: int = 4, report: Call
             log.warning("%s.%s is read in one piece: %s", table.schema, table.name, e)
             ranges = [Range()]
         rows = shaped(source.read(table, ranges), [f.name for f in catalog.need(table.schema, table.name).fields])
-        made = catalog.load(table.schema, table.name, rows, position)
-        if report:
-            report(f"{table.schema}.{table.name}", source.estimated_rows(table), time.time() - began)
-        return made
+        with Watch(catalog.spark, f"{table.schema}.{table.name}", source.estimated_rows(table)):
+            return catalog.load(table.schema, table.name, rows, position)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parts, len(tables) or 1))) as pool:
         jobs = {pool.submit(copy, t): t for t in tables}
