@@ -62,10 +62,13 @@ def stage(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete the staged tables; call it once the results that read them are written."""
-    jvm = spark._jvm
     while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _staged.pop())
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, base: str) -> str:
