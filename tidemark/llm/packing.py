@@ -35,7 +35,9 @@ from tidemark.llm.words import coded, slices, spread
 
 CELL_TOKENS = 2 << 20
 CELL_ROWS = 2048
-CACHED_WORDS = 150_000
+CACHED_WORDS = 250_000
+#: Bytes of text tokenised at once; more of them share more words.
+SLICE_BYTES = 6 << 20
 #: Shorter power-of-two lengths are made only at the end of a partition.
 SHORT = 64
 
@@ -265,7 +267,7 @@ def pack(
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of_process(definition.value)
         packer = Packer(capacity, max_segments, most_loss, TaskContext.get().partitionId() << 36)
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             ids, starts = tokenizer.encode(batch.column("text"))
             before, first = tokenizer.encode(batch.column("prompt")) if prompt_col else (ids[:0], np.zeros(batch.num_rows + 1, np.int64))
             for i, key in enumerate(batch.column("id").to_pylist()):
