@@ -382,6 +382,20 @@ def test_substring_dedup(spark, docs, empty):
     assert {r.doc_id for r in substring_dedup.shared_passages(docs).collect()} >= {i for i in (12, 13) if len((base_texts()[i] or "").split()) >= 50}
 
 
+def test_substring_dedup_finds_dense_edits(spark):
+    """Runs of seven equal words between edits: fewer than a sampled seed needs, more than a seed."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for i in range(20):
+        passage = text(60)
+        edited = [w if (k + i) % 8 else f"changed{i}x{k}" for k, w in enumerate(passage)]
+        rows += [(2 * i, " ".join(text(30) + passage + text(9))), (2 * i + 1, " ".join(text(5) + edited + text(50)))]
+    found = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_id) for r in found} == {(2 * i + k, 2 * i + 1 - k) for i in range(20) for k in (0, 1)}
+    assert all(50 <= r.length <= 62 for r in found)
+
+
 def labelled(n=400):
     rng = random.Random(11)
     clean = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]

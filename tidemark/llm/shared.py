@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -66,6 +67,20 @@ def release(spark: SparkSession) -> None:
         remove(spark, _staged.pop())
 
 
+def staged() -> int:
+    """How many tables are staged now."""
+    return len(_staged)
+
+
+def unstage(spark: SparkSession, mark: int) -> None:
+    """Delete the tables staged since :func:`staged` was ``mark`` but the last, and shuffle files that nothing refers to."""
+    for path in _staged[mark:-1]:
+        remove(spark, path)
+    del _staged[mark:-1]
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
