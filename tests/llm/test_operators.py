@@ -382,6 +382,21 @@ def test_substring_dedup(spark, docs, empty):
     assert {r.doc_id for r in substring_dedup.shared_passages(docs).collect()} >= {i for i in (12, 13) if len((base_texts()[i] or "").split()) >= 50}
 
 
+@pytest.mark.parametrize("spread", [1, 20])
+def test_substring_dedup_beyond_hubs(spark, spread):
+    """Two texts share 60 words whose parts all stand in texts before and after them, in few or in many."""
+    rng = random.Random(7)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    low = [f"v{rng.randrange(3)}" for _ in range(60)]
+    for passage in (text(60), low):
+        parts = [text(20) + passage[i : i + 20] + text(20) for i in range(0, 41, 5) for _ in range(spread)]
+        texts = parts + [text(30) + passage + text(10), text(10) + passage + text(40)] + parts
+        frame = spark.createDataFrame([(i, " ".join(t) + f" end{i}") for i, t in enumerate(texts)], "doc_id long, text string")
+        a, b = len(parts), len(parts) + 1
+        found = [r for r in substring_dedup.shared_passages(frame).collect() if {r.doc_id, r.other_id} == {a, b}]
+        assert {(r.doc_id, r.start, r.length) for r in found} == {(a, 30, 60), (b, 10, 60)}
+
+
 def test_substring_dedup_finds_dense_edits(spark):
     """Runs of seven equal words between edits: fewer than a sampled seed needs, more than a seed."""
     rng = random.Random(8)
