@@ -338,6 +338,24 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.scan(docs).count() == docs.count() and license_scan.scan(empty).count() == 0
 
 
+def test_license_scan_whole_texts(spark):
+    from pathlib import Path
+
+    folder = Path(license_scan.__file__).parent / "licenses"
+    files = {f.stem: f.read_text() for f in folder.glob("*.txt")}
+    given = {k: next(t for i, t in license_scan.KNOWN if i == k and len(t) > 200) for k in ("MIT", "ISC", "Unlicense")}
+    cases = [*files.items(), *given.items()]
+    cases += [("MIT", "MIT License\n\nCopyright (c) 2020 A B\n\n" + given["MIT"]), ("ISC", "ISC License\n\nCopyright 2020 A B\n\n" + given["ISC"])]
+    cases += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2021, A B\nAll rights reserved.\n\n" + files["BSD-3-Clause"])]
+    filled = files["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 A B")
+    cases += [("Apache-2.0", filled), ("Apache-2.0", files["Apache-2.0"].split("   APPENDIX:")[0]), (None, "MIT License"), (None, given["Unlicense"][:300])]
+    assert set(files) == {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "MPL-2.0"} | {f"{x}-only" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0")}
+    assert "recognize copyright laws" in given["Unlicense"] and "unlicense.org" in given["Unlicense"]
+    frame = spark.createDataFrame(list(enumerate(t for _, t in cases)), "doc_id long, text string")
+    found = {r.doc_id: r.license for r in license_scan.scan(frame).collect()}
+    assert [found[i] for i in range(len(cases))] == [k for k, _ in cases]
+
+
 def test_chain_is_best():
     rng = random.Random(8)
     for _ in range(60):

@@ -13,6 +13,10 @@ other columns are not read.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +36,8 @@ SPELLINGS = (
     ("https", "http"),
 )
 
-#: Known notices and licence texts, by SPDX id.
-KNOWN = (
+#: Known notices and short licence texts, by SPDX id; long texts stand in the folder licenses.
+_GIVEN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -73,10 +77,54 @@ THIS SOFTWARE.""",
         """This is free and unencumbered software released into the public domain.
 
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
-as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>""",
     ),
 )
 
+#: Title lines that may stand before a text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'),
+}
+
+
+def _variants(name: str, text: str) -> Iterator[tuple[str, str]]:
+    """The text, then the forms it is found in: below a title, without the appendix or its copyright line to fill in."""
+    yield name, text
+    for title in TITLES.get(name, ()):
+        yield name, f"{title}\n\n{text}"
+    yield name, re.sub(r"(?m)^ *Copyright (?:\[yyyy\]|\(C\) <year>) .*$", "", text)
+    for end in ("END OF TERMS AND CONDITIONS\n", "APPENDIX: How to apply"):
+        if end in text:
+            at = text.index(end)
+            yield name, text[:at]
+            yield name, text[:at] + (end if end.startswith("END") else "")
+
+
+def _known() -> tuple[tuple[str, str], ...]:
+    files = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    notices, texts = [k for k in _GIVEN if "\n" not in k[1]], [k for k in _GIVEN if "\n" in k[1]]
+    return tuple(dict.fromkeys([*notices, *(v for name, text in [*texts, *files] for v in _variants(name, text))]))
+
+
+#: The notices, and the whole texts in their variants.
+KNOWN = _known()
+
 
 def _without_copyright(text: Column) -> Column:
     """Lines that begin with a copyright mark and name a holder or year, and the phrase all rights reserved, go."""
