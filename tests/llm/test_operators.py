@@ -21,6 +21,7 @@ from tidemark.llm import (
     quality_rules,
     sharding,
     substring_dedup,
+    subwords,
     toxicity,
 )
 
@@ -429,6 +430,14 @@ def test_substring_dedup_finds_dense_edits(spark):
     assert all(50 <= r.length <= 62 for r in found)
 
 
+@pytest.mark.parametrize(("module", "one", "other"), [(quality_classifier, "abcabdab", "abdabcab"), (toxicity, "abefcabefdabef", "abefdabefcabef")])
+def test_longest_ngrams_tell_words_apart(module, one, other):
+    """The shorter n-grams of both words are the same."""
+    bags = [Counter(subwords.ngrams([w], module.SIZES, module.BITS)[0].tolist()) for w in (one, other)]
+    shorter = [Counter(subwords.ngrams([w], module.SIZES[:-1], module.BITS)[0].tolist()) for w in (one, other)]
+    assert shorter[0] == shorter[1] and bags[0] != bags[1]
+
+
 def labelled(n=400):
     rng = random.Random(11)
     clean = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
