@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +17,51 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is configured (tests)."""
+    """The session's checkpoint folder.  Where none is configured: an error on a cluster, a temporary folder on one machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a narrow frame to the shared folder once; later reads survive lost executors.
+#: Folders written for the operators that run now: one list for each open :func:`scratch`, of the calling thread or task.
+_made: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, all that :func:`cut` and :func:`stage` wrote within; results have to be written before.
 
-    Spark's own cleaner removes the files when the frame is no longer referenced.
+    Without it these files stay in the shared folder, as Spark's own checkpoints do, until
+    whoever owns the folder clears it.
     """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for path in _made.get() or ():
+            remove(spark, path)
+        _made.reset(token)
+
+
+def _note(path: str | None) -> None:
+    made = _made.get()
+    if made is not None and path:
+        made.append(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write a narrow frame to the shared folder once; later reads survive lost executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _made.get() is not None:
+        file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        _note(file.get() if file.isDefined() else None)
+    return out
 
 
 #: Bytes of an Arrow batch between the JVM and Python workers; both sides hold a few at once.
@@ -45,45 +76,48 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-_staged: list[str] = []
-
-
 def stage(df: DataFrame) -> DataFrame:
     """Write a wide frame as a Parquet table in the shared folder and read it back.
 
-    Columnar and compressed, so cheaper than a checkpoint where rows carry arrays or
-    texts.  :func:`release` deletes what was staged so far.
+    Columnar and compressed, so cheaper than a checkpoint where rows carry arrays or texts.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tidemark-staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _staged.append(path)
+    _note(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the staged tables; call it once the results that read them are written."""
-    while _staged:
-        remove(spark, _staged.pop())
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes that Spark expects of a frame; of a staged table those of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def staged() -> int:
-    """How many tables are staged now."""
-    return len(_staged)
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def unstage(spark: SparkSession, mark: int) -> None:
-    """Delete the tables staged since :func:`staged` was ``mark`` but the last, and shuffle files that nothing refers to."""
-    for path in _staged[mark:-1]:
-        remove(spark, path)
-    del _staged[mark:-1]
-    gc.collect()
-    spark._jvm.System.gc()
+#: A key with fewer rows than this, or than one in HOT_SHARE of all, is left to the shuffle.
+HOT_ROWS = 2_000
+HOT_SHARE = 100_000
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def split_join(rows: DataFrame, table: DataFrame, on: list[str] | str, weight: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has each key once and in ``weight`` how many of ``rows`` have it.
+
+    Keys of many rows, at most HOT_SHARE of them, are broadcast, so no key is one task.  Both
+    frames are read twice and should be written ones.
+    """
+    on = [on] if isinstance(on, str) else on
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    limit = max(HOT_ROWS, total // HOT_SHARE)
+    hot = table.where(F.col(weight) > limit)
+    if hot.isEmpty():
+        return rows.join(table, on, how)
+    often = F.broadcast(hot)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(often, on).unionByName(rest.join(table.where(F.col(weight) <= limit), on, how))
 
 
 def fresh(df: DataFrame, base: str) -> str:

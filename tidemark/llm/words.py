@@ -95,3 +95,25 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + len(out)] + np.uint64(i + 1))
     return out
+
+
+def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Like :func:`chained`, for long windows: a window is made of two halves, so the work grows with the logarithm of ``n``."""
+    if len(hashes) < n:
+        return np.zeros(0, np.uint64)
+    out, length = mix(hashes), 1
+    powers: list[tuple[int, np.ndarray]] = []
+    while length <= n:
+        powers.append((length, out))
+        if 2 * length > n:
+            break
+        out = mix(out[:-length] * np.uint64(0x9E3779B97F4A7C15) + out[length:] + np.uint64(length))
+        length *= 2
+    done, found = 0, None
+    for size, part in reversed(powers):
+        if done + size <= n:
+            ahead = part[done:]
+            count = len(hashes) - n + 1
+            found = ahead[:count] if found is None else mix(found * np.uint64(0x9E3779B97F4A7C15) + ahead[:count] + np.uint64(size))
+            done += size
+    return found
