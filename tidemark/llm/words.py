@@ -87,6 +87,37 @@ def word_hashes(vocabulary: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
 
 
+def _lowered(texts: pa.Array) -> pa.Array:
+    """A-Z as a-z, byte by byte: no byte of a longer character is a letter."""
+    _, offsets, data = texts.buffers()
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    raw = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, pa.py_buffer(raw)], 0, texts.offset)
+
+
+def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all lower-cased (A-Z) words, and where each text's begin (one more at the end); texts are not null.
+
+    A word's hash is the sum of a number for each of its bytes and places.  Work is per
+    distinct word and without Python strings.
+    """
+    split = pc.ascii_split_whitespace(_lowered(texts.cast(pa.large_string())))
+    offsets = split.offsets.to_numpy().astype(np.int64)
+    flat = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    codes, words = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    sizes = np.diff(ends)
+    place = np.arange(len(raw)) - np.repeat(ends[:-1] - ends[0], sizes)
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(raw.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8))))])
+    bounds = ends - ends[0]
+    hashes = mix(upto[bounds[1:]] - upto[bounds[:-1]] + sizes.astype(np.uint64))
+    keep = sizes[codes] > 0 if len(codes) else np.zeros(0, bool)
+    starts = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]]
+    return hashes[codes[keep]] if len(codes) else np.zeros(0, np.uint64), starts
+
+
 def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of each window of ``n`` neighbours in ``hashes``; the order counts."""
     if len(hashes) < n:
