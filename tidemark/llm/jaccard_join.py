@@ -1,7 +1,8 @@
 """Exact n-gram Jaccard self-join by vertical partitioning.
 
 A text's set holds the 64-bit hashes of its distinct word n-grams (fewer words: the whole
-sequence as one).  The global n-gram order is that of the hashes.
+sequence as one).  The global n-gram order is that of the hashes.  Equal sets count as one,
+known by a signature of their members; ids are joined back at the end.
 
 Candidates.  Two sets of sizes a and b with similarity t or more differ in at most
 ``h = (1 - t) / (1 + t) * (a + b)`` n-grams.  Cut the order into ``h + 1 + slack`` fragments:
@@ -17,19 +18,23 @@ out at most ``slack`` agreeing fragments, another one agrees, and the other set
 too: no pair is lost, whatever the frequencies are.  They come from counts per partition,
 of which the largest ``HOT_GRAMS`` are kept.
 
-Counting.  Sets that share keys form clusters.  A cluster is dealt into blocks of bounded
-size, every pair of blocks is one group, and in it the overlaps are counted fragment by
-fragment (a matrix product of each fragment's incidence) and summed per pair.  Only links,
-as a forest, and the number of links per set leave the group, so a cluster of thousands of
-near copies does not turn into a row per pair.
-
-Equal sets count as one set throughout; copies are joined back at the end.  Each partition
-gives a key once, so a key that a third of all texts share arrives as one row per partition.
-
-Edge cases: null and empty texts have an empty set and link with nothing; null ids keep
-their row, their component is the least id of the others; repeated rows (also of one id)
-stay as rows; an empty table gives no rows; other columns are not read.  Equality of 64-bit
-hashes stands for equality of n-grams.
+Counting.  Sets that share keys form clusters.  A cluster, in the order of set sizes, is
+dealt into blocks of bounded size; blocks whose sizes are too far apart to hold a link are
+never paired.  The order of n-grams is cut into ``FRAGMENTS`` parts, and every pair of blocks
+and fragment is one task's group: it counts the overlaps of all pairs of sets within that
+fragment.  The partial counts, one matrix a group, are then summed per pair of sets.  Only
+links, as a forest, and the number of links per set leave that step, so a cluster of
+thousands of near copies does not turn into a row per pair.
+
+Each partition gives a key once, so a key that a third of all texts share arrives as one row
+per partition.
+
+Edge cases: null and empty texts have an empty set and link with nothing; ids may be of any
+type that Spark can order and stand on several different texts; null ids keep their row,
+their component is the least id of the others; repeated rows stay as rows; very long texts
+are blocks of their own, cut into fragments; an empty table gives no rows; other columns are
+not read.  Equality of 64-bit hashes stands for equality of n-grams, that of 64-bit
+signatures for equality of sets.
 """
 
 from __future__ import annotations
@@ -40,17 +45,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import bounded_batches, col, cut, small_enough
-from tidemark.llm.words import chained, coded, mix, slices, word_hashes
+from tidemark.llm.shared import bounded_batches, col, cut, fresh, small_enough, split_join
+from tidemark.llm.words import chained, hashed, mix, slices
 
 BLOCK_SETS = 512
 BLOCK_TOKENS = 400_000
-#: Ids that may be broadcast to pick the texts of clusters: 8 bytes each, so under 20 MB.
-BROADCAST_IDS = 1_000_000
+#: Signatures that may be broadcast to pick the sets of clusters: 8 bytes each, so under 20 MB.
+BROADCAST_SETS = 1_000_000
 #: Keys gathered in a worker before they are reduced and sent.
 HELD_KEYS = 1_000_000
 #: n-grams whose counts are kept and broadcast, 16 bytes each; others count as rare.
@@ -59,20 +65,29 @@ HOT_GRAMS = 200_000
 LEAST_SETS = 4
 #: n-grams gathered in a worker before they are counted.
 COUNTED_GRAMS = 2_000_000
-#: Cells of one fragment's incidence matrix.
+#: Parts of the global order in which overlaps are counted, each by a task of its own.
+FRAGMENTS = 4
+#: Cells of the incidence matrix that is multiplied at once.
 CELLS = 2 << 20
 
 
-def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Ids and sorted hash sets, slice by slice."""
+def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
+    """Slices of the batches with their rows' sorted hash sets and signatures (0: an empty set)."""
     for batch in slices(batches):
-        words = coded(batch.column("text"), lower=True)
-        hashes = word_hashes(words.vocabulary)[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
+        hashes, starts = hashed(batch.column("text"))
         windows, found = chained(hashes, n), []
-        for a, b in zip(words.starts[:-1].tolist(), words.starts[1:].tolist(), strict=True):
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             own = windows[a : b - n + 1] if b - a >= n else chained(hashes[a:b], b - a) if b > a else windows[:0]
             found.append(np.unique(own))
-        yield batch.column("id").to_pylist(), found
+        yield batch, found, np.fromiter(map(signature, found), np.int64, len(found))
+
+
+def signature(found: np.ndarray) -> int:
+    """A hash of a set: of its size and the sums of two mixes of its members."""
+    if not len(found):
+        return 0
+    parts = np.array([len(found), mix(found).sum(), mix(found ^ np.uint64(0x5DEECE66D)).sum()], np.uint64)
+    return int(chained(parts, 3).view(np.int64)[0]) or 1
 
 
 @dataclass(frozen=True)
@@ -116,11 +131,16 @@ class Rule:
 
     def linked(self, overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """``sizes``: the sum of both sets' sizes."""
+        overlap, sizes = overlap.astype(np.int64), sizes.astype(np.int64)
         return (overlap * (100 + self.percent) >= self.percent * sizes) & (overlap > 0)
 
+    def apart(self, low: Column, high: Column) -> Column:
+        """Whether sets of these two sizes, the second at least as large, cannot link."""
+        return low * 100 < high * self.percent
+
 
 def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-    """Each key once with its least id, and a key of its own for every id found to share one."""
+    """Each key once with its least set, and a key of its own for every set found to share one."""
     key, own = np.concatenate(keys), np.concatenate(ids)
     order = np.lexsort((own, key))
     key, own = key[order], own[order]
@@ -129,20 +149,19 @@ def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
     pairs = np.unique(np.stack([least[own != least], own[own != least]]), axis=1)
     pair = mix(mix(pairs[0].view(np.uint64)) + pairs[1].view(np.uint64))
     out_key, out_id = np.concatenate([key[first], pair, pair]), np.concatenate([own[first], pairs[0], pairs[1]])
-    return pa.RecordBatch.from_arrays([pa.array(out_key.view(np.int64)), pa.array(out_id)], ["key", "id"])
+    return pa.RecordBatch.from_arrays([pa.array(out_key.view(np.int64)), pa.array(out_id)], ["key", "s"])
 
 
-def _frequent(parts: list[np.ndarray]) -> pa.RecordBatch:
-    """Counts of n-grams in the form of the profile's rows: n is -1, x the n-gram, y its count."""
+def _frequent(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams in LEAST_SETS of the sets or more, and in how many they are."""
     gram, times = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_counts=True)
-    gram, times = gram[times >= LEAST_SETS], times[times >= LEAST_SETS]
-    none = pa.nulls(len(gram), pa.int64())
-    return pa.RecordBatch.from_arrays([none, pa.array(np.full(len(gram), -1)), pa.array(gram.view(np.int64)), pa.array(times)], ["id", "n", "x", "y"])
+    return gram[times >= LEAST_SETS].view(np.int64), times[times >= LEAST_SETS]
 
 
 def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame) -> DataFrame:
-    rows = hot.groupBy("x").agg(F.sum("y").alias("y")).orderBy(F.desc("y"), "x").limit(HOT_GRAMS).toArrow()
-    gram, times = rows.column("x").to_numpy().view(np.uint64), rows.column("y").to_numpy()
+    """Rows (s, hub): a set and the first one with which it shares a key."""
+    rows = hot.groupBy("gram").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "gram").limit(HOT_GRAMS).toArrow()
+    gram, times = rows.column("gram").to_numpy().view(np.uint64), rows.column("times").to_numpy()
     order = np.argsort(gram)
     table = narrow.sparkSession.sparkContext.broadcast((gram[order], times[order]))
 
@@ -154,152 +173,227 @@ def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame) -> DataFrame
         return np.where(gram[at] == own, times[at], 0)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held, seen = [], [], 0, set()
-        for names, found in sets_of(batches, rule.n):
-            for name, own in zip(names, found, strict=True):
-                mark = (len(own), int(mix(own).sum())) if len(own) else None
-                if mark is None or mark in seen or name is None:
-                    continue  # copies of a set seen in this partition; the set's class has them
+        keys, owners, held, seen = [], [], 0, {0}
+        for _, found, marks in sets_of(batches, rule.n):
+            for mark, own in zip(marks.tolist(), found, strict=True):
+                if mark in seen:
+                    continue  # a copy of a set of this chunk, or an empty one
                 seen.add(mark)
                 k = rule.keys(own, commonness(own))
                 if len(k):
                     keys.append(k)
-                    ids.append(np.full(len(k), name, np.int64))
+                    owners.append(np.full(len(k), mark, np.int64))
                     held += len(k)
             if held >= HELD_KEYS:
-                yield _reduced(keys, ids)
-                keys, ids, held, seen = [], [], 0, set()
+                yield _reduced(keys, owners)
+                keys, owners, held, seen = [], [], 0, {0}
         if held:
-            yield _reduced(keys, ids)
+            yield _reduced(keys, owners)
 
-    keys = narrow.mapInArrow(keyed, "key long, id long")
-    hub = F.min("id").over(Window.partitionBy("key"))
-    return keys.select("id", hub.alias("hub")).where("id <> hub").distinct()
+    keys = narrow.mapInArrow(keyed, "key long, s long")
+    hub = F.min("s").over(Window.partitionBy("key"))
+    return keys.select("s", hub.alias("hub")).where("s <> hub").distinct()
 
 
 def _overlaps(flat: np.ndarray, row: np.ndarray, rows: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Overlap of each set of ``a`` with each of ``b`` (row numbers), summed over fragments of the order."""
+    """Overlap of each set of ``a`` with each of ``b`` (row numbers) in one fragment; no sum reaches 2^24, so float32 is exact."""
     names, at, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[at] > 1
     column = np.cumsum(times > 1) - 1
     at, row = column[at[shared]], row[shared]
     total, width = int((times > 1).sum()), max(64, CELLS // max(rows, 1))
-    out = np.zeros((len(a), len(b)), np.float32)
+    out = np.zeros((len(a), len(b)), np.int32)
     order = np.argsort(at, kind="stable")
     at, row = at[order], row[order]
     for first in range(0, total, width):
         lo, hi = np.searchsorted(at, [first, first + width])
         part = np.zeros((rows, min(width, total - first)), np.float32)
         part[row[lo:hi], at[lo:hi] - first] = 1
-        out += part[a] @ part[b].T
+        out += (part[a] @ part[b].T).astype(np.int32)
     return out
 
 
-def _verify(rule: Rule, key: tuple, table: pa.Table) -> pa.Table:
-    """Links of a pair of blocks: rows (id, other, links); ``other`` leads to the id's component."""
-    once = np.unique(table.column("id").to_numpy(), return_index=True)[1]  # rows that repeat an id
+PARTIAL = "root long, low int, high int, fragment int, left binary, right binary, counts binary"
+
+
+def _partial(key: tuple, table: pa.Table) -> pa.Table:
+    """The overlaps of all pairs of a pair of blocks in one fragment: both blocks' signatures in order, and a matrix of counts."""
+    once = np.unique(table.column("s").to_numpy(), return_index=True)[1]  # sets that several partitions had
     table = table.take(pa.array(once))
-    ids, size, weight = (table.column(c).to_numpy() for c in ("id", "n", "weight"))
-    block, sets = table.column("block").to_numpy(), table.column("set").combine_chunks()
+    block, sets = table.column("block").to_numpy(), table.column("part").combine_chunks()
     flat = sets.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(ids)), np.diff(sets.offsets.to_numpy()))
+    row = np.repeat(np.arange(len(block)), np.diff(sets.offsets.to_numpy()))
     low, high = key[1].as_py(), key[2].as_py()
     a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    near = rule.linked(_overlaps(flat, row, len(ids), a, b), size[a][:, None] + size[b][None, :])
-    if low == high:
+    marks = table.column("s").to_numpy()
+    counts = _overlaps(flat, row, len(block), a, b)
+    columns = [[k.as_py()] for k in key] + [[x.tobytes()] for x in (marks[a], marks[b], counts)]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in PARTIAL.split(", ")])
+
+
+def _summed(rule: Rule, key: tuple, partial: pa.Table, sizes: pa.Table) -> pa.Table:
+    """Links of a pair of blocks from the sum of its fragments' counts: rows (s, other, links); ``other`` leads to the set's component."""
+    rows = partial.to_pylist()
+    a, b = (np.frombuffer(rows[0][c], np.int64) for c in ("left", "right"))
+    total = np.zeros((len(a), len(b)), np.int64)
+    for r in rows:
+        total += np.frombuffer(r["counts"], np.int32).reshape(total.shape)
+    known = sizes.column("s").to_numpy()
+    order = np.argsort(known)
+    at = [order[np.searchsorted(known, x, sorter=order)] for x in (a, b)]
+    (na, nb), (wa, wb) = ([sizes.column(c).to_numpy()[i] for i in at] for c in ("n", "weight"))
+    near = rule.linked(total, na[:, None] + nb[None, :])
+    same = key[1].as_py() == key[2].as_py()
+    if same:
         np.fill_diagonal(near, False)
+    names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     x, y = np.nonzero(near)
-    links = np.zeros(len(ids), np.int64)
-    np.add.at(links, a[x], weight[b[y]])
-    if low != high:
-        np.add.at(links, b[y], weight[a[x]])
-    up = np.arange(len(ids))
+    links = np.zeros(len(names), np.int64)
+    ia, ib = place[: len(a)], place[len(a) :]
+    np.add.at(links, ia[x], wb[y])
+    if not same:
+        np.add.at(links, ib[y], wa[x])
+    up = np.arange(len(names))
 
     def root(i: int) -> int:
         while up[i] != i:
             up[i] = i = up[up[i]]
         return i
 
-    for i, j in zip(a[x].tolist(), b[y].tolist(), strict=True):
+    for i, j in zip(ia[x].tolist(), ib[y].tolist(), strict=True):
         i, j = root(i), root(j)
         if i != j:
             up[max(i, j)] = min(i, j)
     has = np.flatnonzero(links)
-    other = ids[[root(i) for i in has.tolist()]] if len(has) else ids[:0]
-    return pa.table({"id": ids[has], "other": other, "links": links[has]})
+    other = names[[root(i) for i in has.tolist()]] if len(has) else names[:0]
+    return pa.table({"s": names[has], "other": other, "links": links[has]})
+
+
+def _blocks(members: DataFrame, rule: Rule) -> DataFrame:
+    """Rows (root, s, n, weight, block, low, high): ``members`` once for each pair of blocks that they are compared in.
+
+    A block takes a run of the cluster's sizes; sets of one size that fall to several blocks
+    are spread by hash.
+    """
+    extent = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    extent = cut(extent)
+    own = ["root", "s", "n", "weight", "block"]
+    one = members.join(extent.where("blocks = 1").select("root"), "root").withColumn("block", F.lit(0)).select(*own, F.lit(0).alias("low"), F.lit(0).alias("high"))
+    large = extent.where("blocks > 1")
+    if large.isEmpty():
+        return one
+    rows = members.join(large, "root")
+    sizes = cut(rows.groupBy("root", "n").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("grams")))
+    upto = Window.partitionBy("root").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("root")
+    # A set's place is the mean of its places by number and by n-grams, so that both are bounded in a block.
+    place = lambda c: (F.coalesce(F.sum(c).over(upto), F.lit(0)) / F.sum(c).over(whole), F.col(c) / F.sum(c).over(whole))
+    (sets, sets_in), (grams, grams_in) = place("sets"), place("grams")
+    sizes = sizes.select("root", "n", ((sets + grams) / 2).alias("from"), ((sets_in + grams_in) / 2).alias("share"))
+    spot = F.col("from") + F.col("share") * (F.pmod(F.xxhash64("s"), F.lit(1 << 20)) / float(1 << 20))
+    blocks = F.col("blocks") * 2  # the mean lets a block hold twice what either alone would
+    dealt = rows.join(sizes, ["root", "n"]).withColumn("block", F.least(blocks - 1, F.floor(spot * blocks)).cast("int")).select(*own)
+    dealt = cut(dealt)
+    spans = cut(dealt.groupBy("root", "block").agg(F.min("n").alias("least"), F.max("n").alias("most")))
+    low = spans.select("root", F.col("block").alias("low"), F.col("most").alias("low_most"))
+    high = spans.select("root", F.col("block").alias("high"), F.col("least").alias("high_least"))
+    pairs = low.join(high, "root").where((F.col("low") == F.col("high")) | ((F.col("low") < F.col("high")) & ~rule.apart(F.col("low_most"), F.col("high_least"))))
+    ends = cut(pairs.select("root", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block")))
+    return one.unionByName(dealt.join(ends, ["root", "block"]).select(*own, "low", "high"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
     """One row per text: id, n_shingles, component_id (least linked id) and n_links (texts directly linked)."""
+    found = _labelled(docs, id_col, text_col, n, percent)
+    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id", "n_links")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """The rows of :func:`near_duplicates` with the column ``id``, and a hash of the text, ``print``."""
     rule = Rule(n, percent)
-    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(col(text_col), F.lit(""))
+    narrow = bounded_batches(docs).select(col(id_col).alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    kind = narrow.schema["id"].dataType
+    names = ["id", "print", "n", "s", "times"]
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for names, found in sets_of(batches, n):
+        held, size, id_type = [], 0, None
+        for batch, found, marks in sets_of(batches, n):
+            id_type = batch.column("id").type
             held += found
             size += sum(map(len, found))
             if size >= COUNTED_GRAMS:
-                yield _frequent(held)
+                yield counted(held, id_type)
                 held, size = [], 0
-            x = [int(mix(s).sum()) for s in found]
-            y = [int(mix(s ^ np.uint64(0x5DEECE66D)).sum()) for s in found]
-            prints = (pa.array(np.array(v, np.uint64).view(np.int64)) for v in (x, y))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([len(s) for s in found], pa.int64()), *prints], ["id", "n", "x", "y"])
-        yield _frequent(held)
-
-    profiled = cut(narrow.mapInArrow(profile, "id long, n long, x long, y long"))
-    texts, hot = profiled.where("n >= 0"), profiled.where("n = -1").select("x", "y")
-    classes = cut(texts.where("n > 0").groupBy("n", "x", "y").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")))
-    texts = cut(texts.join(classes, ["n", "x", "y"], "left").select("id", "n", "rep", "weight"))
-
-    edges = cut(_candidate_edges(narrow, rule, hot))
-    rep = texts.where("rep is not null").groupBy("id").agg(F.min("rep").alias("rep"))
-    for end in ("id", "hub"):
-        edges = edges.join(rep.select(F.col("id").alias(end), F.col("rep").alias(f"{end}_rep")), end).drop(end)
-    clusters = components(edges.select(F.col("id_rep").alias("a"), F.col("hub_rep").alias("b")))
-
-    members = clusters.join(classes.select(F.col("rep").alias("id"), "n", "weight"), "id")
-    members = cut(members)
-    extent = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    members = members.join(extent, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    wanted = clusters.select("id")
-    if small_enough(wanted, BROADCAST_IDS):
+            sizes = pa.array([len(s) for s in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("print"), sizes, pa.array(marks), pa.nulls(len(found), pa.int64())], names)
+        if held:
+            yield counted(held, id_type)
+
+    def counted(held: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
+        """Counts of n-grams in the form of the profile's rows: n is -1, s the n-gram."""
+        gram, times = _frequent(held)
+        none = pa.nulls(len(gram), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.nulls(len(gram), id_type), none, pa.array(np.full(len(gram), -1)), pa.array(gram), pa.array(times)], names)
+
+    schema = T.StructType([T.StructField("id", kind), *[T.StructField(c, T.LongType()) for c in names[1:]]])
+    profiled = cut(narrow.mapInArrow(profile, schema))
+    texts, hot = profiled.where("n >= 0").drop("times"), profiled.where("n = -1").select(F.col("s").alias("gram"), "times")
+    some = texts.where("n > 0")
+    classes = cut(some.groupBy("s").agg(F.max("n").alias("n"), F.min("id").alias("least"), F.min("print").alias("print"), F.count(F.lit(1)).alias("weight")))
+
+    clusters = components(cut(_candidate_edges(narrow, rule, hot)).select(F.col("s").alias("a"), F.col("hub").alias("b")))
+    members = cut(clusters.withColumnRenamed("id", "s").join(classes.select("s", "n", "weight", "print"), "s"))
+    compared = cut(_blocks(members.drop("print"), rule))
+    wanted = members.select("print")
+    if small_enough(wanted, BROADCAST_SETS):
         wanted = F.broadcast(wanted)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for names, found in sets_of(batches, n):
-            new = [i for i, name in enumerate(names) if (name, len(found[i])) not in seen and not seen.add((name, len(found[i])))]
-            names, found = [names[i] for i in new], [found[i] for i in new]
-            values = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)]).astype(np.int32), np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), values], ["id", "set"])
-
-    chosen = narrow.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, set array<long>")
-    groups = (
-        members.join(chosen, "id").where(F.size("set") == F.col("n"))
-        .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("root", F.least("block", "x").alias("low"), F.greatest("block", "x").alias("high"), "id", "n", "weight", "block", "set")
-    )
-    links = cut(groups.groupBy("root", "low", "high").applyInArrow(lambda key, table: _verify(rule, key, table), "id long, other long, links long"))
-
-    joined = components(links.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    label = joined.join(joined.groupBy("root").agg(F.min("id").alias("component")), "root").select(F.col("id").alias("rep"), "component")
-    total = links.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    label = cut(total.join(label, "rep", "left"))
-    return texts.join(label, "rep", "left").select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "rep", "id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).alias("n_links"),
+        """Each set once a chunk, cut at the bounds of the fragments of the global order."""
+        seen: set[int] = set()
+        bounds = np.array([(f << 64) // FRAGMENTS for f in range(1, FRAGMENTS)], np.uint64)
+        for _, found, marks in sets_of(batches, n):
+            new = [i for i, mark in enumerate(marks.tolist()) if mark not in seen and not seen.add(mark)]
+            if not new:
+                continue
+            flat = np.concatenate([found[i] for i in new])
+            ends = np.concatenate([np.append(np.searchsorted(found[i], bounds), len(found[i])) for i in new]).reshape(-1, FRAGMENTS)
+            lengths = np.diff(ends, axis=1, prepend=0)
+            parts = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths.ravel())]).astype(np.int32), pa.array(flat.view(np.int64)))
+            order = np.tile(np.arange(FRAGMENTS, dtype=np.int32), len(new))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(marks[new], FRAGMENTS)), pa.array(order), parts], ["s", "fragment", "part"])
+            if len(seen) > HELD_KEYS:
+                seen = set()
+
+    chosen = narrow.join(wanted, "print", "left_semi").mapInArrow(sets, "s long, fragment int, part array<long>")
+    groups = compared.select("root", "low", "high", "s", "block").join(chosen, "s")
+    pair = ["root", "low", "high"]
+    partial = groups.groupBy(*pair, "fragment").applyInArrow(_partial, PARTIAL)
+    sizes = compared.select(*pair, "s", "n", "weight")
+    summed = partial.groupBy(*pair).cogroup(sizes.groupBy(*pair))
+    links = cut(summed.applyInArrow(lambda key, left, right: _summed(rule, key, left, right), "s long, other long, links long"))
+
+    joined = components(links.select(F.col("s").alias("a"), F.col("other").alias("b"))).withColumnRenamed("id", "s")
+    label = joined.join(classes.select("s", "least"), "s")
+    label = label.join(label.groupBy("root").agg(F.min("least").alias("component")), "root").select("s", "component")
+    total = links.groupBy("s").agg(F.sum("links").alias("links"))
+    known = cut(classes.select("s", "least", "weight").join(label, "s", "left").join(total, "s", "left"))
+    linked = split_join(some, known, "s", "weight").select(
+        "id", "print", F.col("n").alias("n_shingles"), F.coalesce("component", "least", "id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
+    empty = texts.where("n = 0").select("id", "print", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return linked.unionByName(empty)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller id.
 
-    Rows that repeat a kept id all stay, as do rows with a null id.
+    Rows that repeat a kept id with a text of the same component all stay, as do rows with a null id.
     """
-    found = near_duplicates(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), "id", "text", n, percent)
-    gone = cut(found.where("component_id < id").select("id").distinct())
-    return docs.join(gone, col(id_col).cast("long") == gone["id"], "left_anti")
+    found = _labelled(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), "id", "text", n, percent)
+    names = {c: fresh(docs, c) for c in ("id", "print")}
+    gone = cut(found.where("component_id < id").select(*[F.col(c).alias(v) for c, v in names.items()]).distinct())
+    same = (col(id_col) == F.col(names["id"])) & (F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col(names["print"]))
+    return docs.join(gone, same, "left_anti")
