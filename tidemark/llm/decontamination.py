@@ -12,10 +12,10 @@ left are scored.  Retrieved items are verified: at least ``overlap`` of the word
 of the question (all sentences but the last) and of the answer (the last) occur in the
 passage.  An item of one sentence is all question.
 
-The index is built per shard of at most ``SHARD_ITEMS`` items, so what is broadcast has a
-bound; document frequencies cover all items.  Nothing of the corpus is shuffled.
+The index is built per shard of some ``SHARD_ITEMS`` items and ``SHARD_BYTES``, so what is
+broadcast has a bound; document frequencies cover all items.  Nothing of the corpus is shuffled.
 
-Edge cases: null and empty texts match nothing, as do items without words; repeated items
+Edge cases: ids may have any type; null and empty texts match nothing, as do items without words; repeated items
 and rows each match; null ids stay null; an empty table on either side gives no rows; other
 columns are not read, or pass through :func:`drop_contaminated`.
 """
@@ -31,8 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.shared import bounded_batches, col, cut
+from tidemark.llm.shared import bounded_batches, col, cut, fresh
 from tidemark.llm.words import coded, slices, spread
 
 THRESHOLD = 0.5
@@ -41,6 +43,7 @@ GRAM = 3
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
 SHARD_ITEMS = 20_000
+SHARD_BYTES = 32 << 20
 #: Postings expanded at once.
 EXPANDED = 4_000_000
 _SIGNS = re.compile(r"[\W_]+")
@@ -204,29 +207,33 @@ def contaminated(
 ) -> DataFrame:
     """One row per text and test item found in it: id, item_id, score, question_overlap, answer_overlap."""
     spark = docs.sparkSession
-    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    schema = "id long, item_id long, score double, question_overlap double, answer_overlap double"
-    total = benchmark.count()
-    shards = -(-total // SHARD_ITEMS)
-    items = benchmark.select(col(item_col).cast("long").alias("item"), F.coalesce(col(item_text), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    items = benchmark.select(col(item_col).alias("item"), F.coalesce(col(item_text), F.lit("")).alias("text"))
+    names = ["id", "item_id", "score", "question_overlap", "answer_overlap"]
+    kinds = [narrow.schema["id"].dataType, items.schema["item"].dataType, *[T.DoubleType()] * 3]
+    schema = T.StructType([T.StructField(c, k) for c, k in zip(names, kinds, strict=True)])
+    arrow = to_arrow_schema(schema).types
+    total, size = benchmark.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(col(item_text))), F.lit(0))).first()
+    shards = max(-(-total // SHARD_ITEMS), -(-size // SHARD_BYTES))
     items = cut(items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(max(shards, 1))).cast("int")))
     frequency = cut(_frequencies(items, shards))
     words = frequency.where("shard = 0").agg(F.sum("n")).first()[0] if shards == 1 else frequency.select("term", "n").distinct().agg(F.sum("n")).first()[0]
     mean = (words or 0) / total if total else 0.0
     found = spark.createDataFrame([], schema)
     for shard in range(shards):
-        rows = sorted((r.item if r.item is not None else -1, r.text, r.item) for r in items.where(F.col("shard") == shard).collect())
+        rows = sorted(((r.item, r.text) for r in items.where(F.col("shard") == shard).collect()), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
         known = {r.term: r.df for r in frequency.where(F.col("shard") == shard).collect()}
-        index = spark.sparkContext.broadcast(Index.build([(r[2], r[1]) for r in rows], known, total, mean or 1.0))
+        made = vars(Index.build(rows, known, total, mean or 1.0))  # plain values: workers need no copy of this package
+        shared = spark.sparkContext.broadcast(made)
 
-        def searched(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def searched(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index()
+            vars(index).update(shared.value)
             for batch in slices(batches):
                 ids = batch.column("id").to_pylist()
-                hits = [(ids[t], index.value.items[i], s, q, a) for t, i, s, q, a in index.value.matches(batch.column("text"), threshold, overlap)]
+                hits = [(ids[t], index.items[i], s, q, a) for t, i, s, q, a in index.matches(batch.column("text"), threshold, overlap)]
                 if hits:
-                    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-                    names = ["id", "item_id", "score", "question_overlap", "answer_overlap"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*hits, strict=True), kinds, strict=True)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*hits, strict=True), arrow, strict=True)], names)
 
         found = found.union(narrow.mapInArrow(searched, schema))
     return found.withColumnRenamed("id", id_col)
@@ -235,5 +242,6 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id has no test item in its text."""
     found = contaminated(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), benchmark, "id", "text")
-    bad = cut(found.where("id is not null").select(F.col("id").alias("__bad")).distinct())
-    return docs.join(bad, col(id_col).cast("long") == F.col("__bad"), "left_anti")
+    name = fresh(docs, "bad")
+    bad = cut(found.where("id is not null").select(F.col("id").alias(name)).distinct())
+    return docs.join(bad, col(id_col) == F.col(name), "left_anti")

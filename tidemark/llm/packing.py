@@ -13,7 +13,7 @@ cell to cell, so nothing is shuffled and a lost task is redone alone.  Sequence
 partition number.  Words are tokenised once per distinct word: the tokeniser drops white
 space, so the ids of a text are those of its white-space-separated words in order.
 
-Edge cases: null and empty texts are the end id alone; repeated rows are packed each for
+Edge cases: ids may have any type; null and empty texts are the end id alone; repeated rows are packed each for
 itself; null ids stay null; an empty table gives no rows; other columns are not read.
 """
 
@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.shared import bounded_batches, col
 from tidemark.llm.words import coded, slices, spread
@@ -41,8 +42,9 @@ SLICE_BYTES = 6 << 20
 #: Shorter power-of-two lengths are made only at the end of a partition.
 SHORT = 64
 
+#: What follows the id of a piece.
 PIECES = pa.schema([
-    ("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
+    ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("loss_tokens", pa.int64()), ("padded_to", pa.int32()), ("ids", pa.list_(pa.int32())),
 ])
 
@@ -223,17 +225,18 @@ class Packer:
             pieces, total, first = rest, total - size, False
         return []
 
-    def taken(self, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    def taken(self, with_ids: bool, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         """The finished pieces as batches."""
+        schema = pa.schema([("id", id_type), *PIECES])
         done, self.done = self.done, []
         for at in range(0, len(done), 4096):
-            cols: list[list] = [[] for _ in PIECES]
+            cols: list[list] = [[] for _ in schema]
             for item, s, e, sequence, offset, size in done[at : at + 4096]:
                 ids = item[1][s:e]
                 row = (item[0], s, e - s, zlib.crc32(ids.astype("<u4").tobytes()), len(item[1]), sequence, offset, max(0, e - max(s, item[2])), size, ids if with_ids else None)
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, PIECES, strict=True)], schema=PIECES)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
 def pack(
@@ -259,7 +262,7 @@ def pack(
         definition = spark.sparkContext.broadcast(f.read())
     most_loss = capacity if max_loss is None else max_loss
     narrow = bounded_batches(docs).select(
-        col(id_col).cast("long").alias("id"),
+        col(id_col).alias("id"),
         F.coalesce(col(text_col), F.lit("")).alias("text"),
         *([F.coalesce(col(prompt_col), F.lit("")).alias("prompt")] if prompt_col else []),
     )
@@ -267,7 +270,9 @@ def pack(
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.of_process(definition.value)
         packer = Packer(capacity, max_segments, most_loss, TaskContext.get().partitionId() << 36)
+        id_type = pa.int64()
         for batch in slices(batches, most=SLICE_BYTES):
+            id_type = batch.column("id").type
             ids, starts = tokenizer.encode(batch.column("text"))
             before, first = tokenizer.encode(batch.column("prompt")) if prompt_col else (ids[:0], np.zeros(batch.num_rows + 1, np.int64))
             for i, key in enumerate(batch.column("id").to_pylist()):
@@ -275,11 +280,12 @@ def pack(
                 packer.add(key, np.concatenate([prompt, ids[starts[i] : starts[i + 1]], [end_id]]).astype(np.int32), len(prompt))
                 if packer.full():
                     packer.pack(False)
-                    yield from packer.taken(with_ids)
+                    yield from packer.taken(with_ids, id_type)
         packer.pack(True)
-        yield from packer.taken(with_ids)
+        yield from packer.taken(with_ids, id_type)
 
-    schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, padded_to int, ids array<int>"
+    rest = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, padded_to int, ids array<int>"
+    schema = T.StructType([narrow.schema["id"], *T._parse_datatype_string(rest).fields])
     found = narrow.mapInArrow(packed, schema)
     found = found if with_ids else found.drop("ids")
     return found.withColumnRenamed("id", id_col)

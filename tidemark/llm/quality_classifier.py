@@ -10,7 +10,7 @@ the text, and the share of words equal to the word before.  Like the toxicity mo
 is a sum of one number per n-gram: one pass over whole texts without a shuffle.
 
 Training takes at most ``per_grade`` rated texts of each grade, those whose ids hash lowest,
-and weighs grades alike.  Edge cases: a text without words (null, empty) has expected grade
+and weighs grades alike.  Edge cases: ids may have any type; a text without words (null, empty, white space) has expected grade
 0 and tail probability 0; ids rated more than once count with their lowest grade; null
 grades are left out; with fewer than two grades all texts get the rated grade; repeated rows
 each get a row; an empty table gives no rows; other columns are not read.
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.shared import bounded_batches, col, cut
 from tidemark.llm.subwords import frequent, ngrams, text_sums
@@ -58,8 +59,8 @@ class Model:
     thresholds: np.ndarray
     grades: np.ndarray
 
-    def tails(self, texts: pa.Array) -> np.ndarray:
-        """P(grade >= grades[j]) for j = 1, 2 ..., one column each; 0 for texts without words."""
+    def tails(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """P(grade >= grades[j]) for j = 1, 2 ..., one column each, 0 for texts without words; and which texts have words."""
         words = coded(texts)
         bucket, owner = ngrams(words.vocabulary, SIZES, BITS, marks=True)
         size = len(words.vocabulary)
@@ -67,7 +68,8 @@ class Model:
         count = text_sums(words, np.bincount(owner, minlength=size).astype(float))
         z = total / np.maximum(count, 1) + self.repeat * _repeats(words)
         out = 1 / (1 + np.exp(-np.clip(z[:, None] - self.thresholds[None, :], -50, 50)))
-        return np.where(np.diff(words.starts)[:, None] > 0, out, 0.0)
+        some = np.diff(words.starts) > 0
+        return np.where(some[:, None], out, 0.0), some
 
 
 def train(texts: pa.Array, grade: np.ndarray) -> Model:
@@ -125,8 +127,8 @@ def rate(docs: DataFrame, rated: DataFrame, grade: Column, id_col: str = "doc_id
     ``grade`` is an integer column expression over ``rated``; the tail begins ``floor`` grades
     below the best (but above the worst).
     """
-    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    known = rated.select(col(id_col).cast("long").alias("id"), grade.cast("int").alias("y")).where("id is not null and y is not null")
+    narrow = bounded_batches(docs).select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    known = rated.select(col(id_col).alias("id"), grade.cast("int").alias("y")).where("id is not null and y is not null")
     known = cut(known.groupBy("id").agg(F.min("y").alias("y")))
     grades = sorted(r.y for r in known.select("y").distinct().collect())  # a rating scale: a handful
     picked = None
@@ -135,17 +137,18 @@ def rate(docs: DataFrame, rated: DataFrame, grade: Column, id_col: str = "doc_id
         picked = one if picked is None else picked.union(one)
     picked = cut(picked if picked is not None else known)
     data = narrow.join(F.broadcast(picked), "id").select("id", "text", "y").toArrow().sort_by("id")  # bounded by per_grade
-    model = narrow.sparkSession.sparkContext.broadcast(train(data.column("text").combine_chunks(), data.column("y").to_numpy()))
+    made = train(data.column("text").combine_chunks(), data.column("y").to_numpy())
+    learned = narrow.sparkSession.sparkContext.broadcast((made.weights, made.repeat, made.thresholds, made.grades))  # plain values: workers need no copy of this package
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = Model(*learned.value)
         for batch in slices(batches):
-            tails = m.tails(batch.column("text"))
-            some = np.array([len(t) > 0 for t in batch.column("text").to_pylist()])
+            tails, some = m.tails(batch.column("text"))
             steps = np.diff(m.grades).astype(float)
             expected = np.where(some, m.grades[0] + tails @ steps, 0.0) if len(steps) else np.where(some, float(m.grades[0]), 0.0)
             tail = tails[:, max(0, tails.shape[1] - 1 - floor)] if len(steps) else some.astype(float)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(expected), pa.array(tail)], ["id", "expected_grade", "tail_probability"])
 
-    found = narrow.mapInArrow(scored, "id long, expected_grade double, tail_probability double")
+    schema = T.StructType([narrow.schema["id"], *[T.StructField(c, T.DoubleType()) for c in ("expected_grade", "tail_probability")]])
+    found = narrow.mapInArrow(scored, schema)
     return found.select(F.col("id").alias(id_col), "expected_grade", "tail_probability", (F.col("tail_probability") >= 0.5).alias("kept"))

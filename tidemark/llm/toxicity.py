@@ -10,7 +10,7 @@ Training takes at most ``per_class`` labelled texts of each class, those whose i
 lowest; everything else covers all rows.  Rows whose ``crc32(id as text) mod 5`` is 0 are
 held out.
 
-Edge cases: a text without n-grams (null, empty, signs only) gets the score of the bias
+Edge cases: ids may have any type; a text without n-grams (null, empty, white space or signs only) gets the score of the bias
 alone; ids with several labels count as toxic if one says so; null labels are left out;
 without both classes among the labels every score is the share of toxic labels; repeated
 rows each get a row; an empty table gives no rows.
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.shared import bounded_batches, col, cut
 from tidemark.llm.subwords import frequent, ngrams
@@ -115,24 +116,27 @@ def held_out(key):
 def sample(labels: DataFrame, id_col: str, label: str, per_class: int) -> DataFrame:
     """At most ``per_class`` ids of each class among those not held out: rows (id, y)."""
     known = labels.where(col(id_col).isNotNull() & col(label).isNotNull() & ~held_out(col(id_col)))
-    known = known.groupBy(col(id_col).cast("long").alias("id")).agg(F.max(col(label)).cast("int").alias("y"))
+    known = known.groupBy(col(id_col).alias("id")).agg(F.max(col(label)).cast("int").alias("y"))
     classes = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
     return cut(classes[0].union(classes[1]))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
     """One row per text: id, held_out, score and predicted."""
-    narrow = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    narrow = bounded_batches(docs).select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    schema = T.StructType([narrow.schema["id"], T.StructField("score", T.DoubleType())])
     picked = narrow.join(F.broadcast(sample(labels, id_col, label, per_class)), "id")  # bounded by per_class
     data = picked.select("id", "text", "y").toArrow().sort_by("id")
     toxic = data.column("y").to_numpy()
-    model = narrow.sparkSession.sparkContext.broadcast(train(data.column("text").combine_chunks(), toxic))
+    made = train(data.column("text").combine_chunks(), toxic)
+    learned = narrow.sparkSession.sparkContext.broadcast((made.weights, made.bias))  # plain values: workers need no copy of this package
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*learned.value)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.value.scores(batch.column("text")))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.scores(batch.column("text")))], ["id", "score"])
 
-    return narrow.mapInArrow(scored, "id long, score double").select(
+    return narrow.mapInArrow(scored, schema).select(
         F.col("id").alias(id_col),
         F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"),
         "score",
