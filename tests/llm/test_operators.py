@@ -199,10 +199,10 @@ def test_components(spark):
     assert big == [50, 61] and 500 not in {r.id for r in found}
 
 
-def gone_lines(rows, m):
-    """Line numbers that repeat an earlier run of m lines, per (id, text)."""
+def gone_lines(rows, m, long=50):
+    """Line numbers that repeat an earlier run of m lines, or a line of so many words, per (id, text)."""
     seen, out = set(), {}
-    keys = sorted({(r[0] if r[0] is not None else -(1 << 63), r[1]) for r in rows}, key=lambda k: (k[0], k[1] or ""))
+    keys = sorted({(r[0], r[1]) for r in rows}, key=lambda k: (k[0] is not None, k[0] or 0, k[1] or ""))
     for key in keys:
         lines = [(i, x.strip(" \t\n\x0b\f\r")) for i, x in enumerate((key[1] or "").split("\n")) if WORD.search(x)]
         gone = set()
@@ -211,6 +211,10 @@ def gone_lines(rows, m):
             if window in seen:
                 gone |= {j for j, _ in lines[i : i + m]}
             seen.add(window)
+        for j, x in lines:
+            if m > 1 and len(WORD.findall(x)) >= long:
+                gone |= {j} if (x,) in seen else set()
+                seen.add((x,))
         out[key] = sorted(gone)
     return out
 
@@ -221,17 +225,46 @@ def test_line_dedup(docs, rows, m):
     found = line_dedup.with_kept_text(docs, "doc_id", "text", m, "left", "gone").collect()
     assert len(found) == len(rows)
     for r in found:
-        gone = expected[r.doc_id if r.doc_id is not None else -(1 << 63), r.text]
+        gone = expected[r.doc_id, r.text]
         assert r.gone == gone
         assert r.left == (r.text if not gone else "\n".join(x for i, x in enumerate(r.text.split("\n")) if i not in gone))
 
 
+def test_line_dedup_long_lines(spark):
+    line = " ".join(f"w{i}" for i in range(50))
+    frame = spark.createDataFrame([("b", f"head b\n{line}\nmore b"), ("a", f"{line}\nmore a"), ("c", f"{line} x"), ("d", line[:-4])], "doc_id string, text string")
+    found = {r.doc_id: (r.removed_lines, r.kept, r.longest_run) for r in line_dedup.runs_of_texts(frame).collect()}
+    assert found == {"a": ([], f"{line}\nmore a", 1), "b": ([1], "head b\nmore b", 1), "c": ([], f"{line} x", 0), "d": ([], line[:-4], 0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_line_dedup_run_lengths(spark, seed):
+    """The longest common prefix of every suffix with any other, in texts of few different lines."""
+    rng = random.Random(seed)
+    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 14))] for _ in range(8)]
+    texts += [texts[0] + texts[1] + ["z"] + texts[2], texts[3][2:] + texts[1], [f"u{i}" for i in range(40)], ["q"] + [f"u{i}" for i in range(37)]]
+    frame = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    spots = [(d, i) for d, t in enumerate(texts) for i in range(len(t))]
+
+    def common(a, b):
+        n = 0
+        while a[1] + n < len(texts[a[0]]) and b[1] + n < len(texts[b[0]]) and texts[a[0]][a[1] + n] == texts[b[0]][b[1] + n]:
+            n += 1
+        return n
+
+    expected = {s: most for s in spots if (most := max((common(s, t) for t in spots if t != s), default=0))}
+    active = line_dedup.repeated_lines(line_dedup.line_ids(frame, "doc_id", "text"))
+    found = line_dedup.run_lengths(active).collect()
+    assert len(found) == len(expected) and {(r.id.id, r.idx): r.run for r in found} == expected
+
+
 def test_line_dedup_drops_emptied(spark, docs, empty):
     frame = spark.createDataFrame([(1, "a b\nc d"), (2, "a b\nc d"), (3, ""), (4, "x\na b\nc d\ny")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in line_dedup.drop_repeated(frame).collect()} == {1: "a b\nc d", 3: "", 4: "x\ny"}
     assert line_dedup.drop_repeated(docs).columns == docs.columns and line_dedup.drop_repeated(empty).count() == 0
+    assert line_dedup.runs_of_texts(empty).count() == 0 and line_dedup.runs_of_texts(docs).count() == docs.count()
     with pytest.raises(ValueError):
-        line_dedup.later_copies(frame, "doc_id", "text", 0)
+        line_dedup.drop_repeated(frame, min_lines=0)
 
 
 @pytest.fixture(scope="module")

@@ -4,19 +4,23 @@ The lines of a text that hold a word, stripped of white space at both ends, beco
 text is the sequence of its ids.  Suffixes are ranked by their first line, then by their
 first two, four and so on lines: the rank of a prefix twice as long is the rank of a pair
 of ranks, found by one range sort over the distinct pairs.  Suffixes whose prefix occurs
-once are dropped at every step, so the work shrinks to what is repeated.
-
-Deletions depend only on the intervals of suffixes with at least ``min_lines`` lines in
-common, so doubling stops there.  The first suffix of each interval, in the order (id,
-position), is the original; the ``min_lines`` lines at every other one are later copies.
-Overlapping copies join into maximal runs.
-
-Edge cases: lines without a word are not counted and stay; null and empty texts have no
-lines; a line repeated in a text is a run that overlaps itself, of which the first
-``min_lines`` - 1 further lines go with it; rows with the same id and text are one text and
-stay alike; a null id comes before all others; an empty table gives no rows; other columns
-pass through :func:`drop_repeated` untouched.  Equality of 64-bit hashes stands for equality
-of lines, for ``min_lines`` neighbours at a time.
+once are dropped at every step, so the work shrinks to what is repeated.  The suffixes of one
+rank are an interval of the suffix array with that many lines in common; how many exactly
+each has in common with another (its longest common prefix) is found by :func:`run_lengths`.
+
+A repeated run is deleted where it has at least ``min_lines`` lines, or is a single line of
+at least ``LONG_WORDS`` words.  The first suffix of each interval, in the order (id,
+position), is the original; at every other one the run is a later copy.  As a run's own parts
+of ``min_lines`` lines are repeated where it is, the intervals of that depth tell which lines
+go; overlapping copies join into maximal runs.
+
+Edge cases: ids may have any type that orders; lines without a word are not counted and
+stay; null and empty texts have no lines; a line repeated in a text is a run that overlaps
+itself, of which the first ``min_lines`` - 1 further lines go with it; rows with the same id
+and text are one text and stay alike; a null id comes before all others; very long texts are
+lines like others; an empty table gives no rows; other columns pass through
+:func:`drop_repeated` untouched.  Equality of 64-bit hashes stands for equality of lines and
+texts.
 """
 
 from __future__ import annotations
@@ -24,78 +28,166 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import SPACE, col, cut, fresh, ranked, stage
+from tidemark.llm.shared import SPACE, SPACE_CLASS, col, cut, fresh, ranked, split_join, stage
 
 MIN_LINES = 2
+#: A single line of so many words is a run.
+LONG_WORDS = 50
 #: Texts to change, and line numbers in them, that may be broadcast: 40 and 4 bytes each, so under 30 MB.
 BROADCAST_TEXTS = 300_000
 BROADCAST_LINES = 4_000_000
-_NULL_ID = -(1 << 63)
 
 
 def _id(name: str) -> Column:
-    return F.coalesce(col(name).cast("long"), F.lit(_NULL_ID))
+    """An id that is never null, so that joins find it; a null id comes first."""
+    return F.struct(col(name).isNotNull().alias("some"), col(name).alias("id"))
 
 
 def _print(name: str) -> Column:
     return F.xxhash64(F.coalesce(col(name), F.lit("")))
 
 
-def line_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, print, idx, line, r): the idx-th line with a word is line number ``line`` and has the id ``r``."""
+def line_ids(docs: DataFrame, id_col: str, text_col: str, long_words: int = LONG_WORDS) -> DataFrame:
+    """Rows (id, print, idx, line, r, long): the idx-th line with a word is line number ``line`` and has the id ``r``; ``long``: it has ``long_words`` words."""
     bare = lambda x: F.btrim(x, F.lit(SPACE))
-    lines = F.transform(F.split(F.coalesce(col(text_col), F.lit("")), "\n"), lambda x, i: F.when(bare(x) != "", F.struct(i.alias("line"), F.xxhash64(bare(x)).alias("r"))))
+    words = lambda x: F.size(F.split(bare(x), SPACE_CLASS + "+"))
+    # A line of n words has 2 n - 1 characters at least, so short ones are not split.
+    long = lambda x: (F.char_length(x) >= 2 * long_words - 1) & (words(x) >= long_words)
+    one = lambda x, i: F.when(bare(x) != "", F.struct(i.alias("line"), F.xxhash64(bare(x)).alias("r"), long(x).alias("long")))
+    lines = F.transform(F.split(F.coalesce(col(text_col), F.lit("")), "\n"), one)
     found = docs.select(_id(id_col).alias("id"), _print(text_col).alias("print"), F.posexplode(F.filter(lines, lambda x: x.isNotNull())).alias("idx", "x"))
-    return found.select("id", "print", "idx", "x.line", "x.r")
+    return found.select("id", "print", "idx", "x.line", "x.r", "x.long")
 
 
-def repeated_windows(lines: DataFrame, min_lines: int) -> DataFrame:
-    """Suffixes whose first ``min_lines`` lines occur elsewhere: (id, print, idx, lines, r).
+def repeated_lines(lines: DataFrame) -> DataFrame:
+    """The suffixes whose first line occurs more than once: (id, print, idx, lines, r, long)."""
+    often = cut(lines.groupBy("r").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    found = split_join(lines, often, "r", "n").select("id", "print", "idx", F.array("line").alias("lines"), "r", "long")
+    return cut(found.dropDuplicates(["id", "print", "idx"]))
 
-    ``r`` is the rank of that prefix, ``lines`` are its line numbers.
-    """
-    often = lines.groupBy("r").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r")
-    active = lines.join(often, "r").select("id", "print", "idx", F.array("line").alias("lines"), "r").dropDuplicates(["id", "print", "idx"])
-    length = 1
+
+def longer(active: DataFrame, length: int, step: int) -> DataFrame:
+    """Of suffixes ranked by their first ``length`` lines those whose first ``length + step`` lines are repeated, with the rank of these."""
+    ahead = active.select("id", "print", (F.col("idx") - step).alias("idx"), F.col("lines").alias("more"), F.col("r").alias("r2"))
+    pairs = cut(active.join(ahead, ["id", "print", "idx"]))
+    names = pairs.groupBy("r", "r2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranks = cut(ranked(names, ["r", "r2"], "rank"))
+    both = F.concat("lines", F.slice("more", length - step + 1, step))
+    return cut(split_join(pairs, ranks, ["r", "r2"], "n").select("id", "print", "idx", both.alias("lines"), F.col("rank").alias("r")))
+
+
+def repeated_windows(active: DataFrame, min_lines: int) -> DataFrame:
+    """Suffixes whose first ``min_lines`` lines occur elsewhere: (id, print, idx, lines, r); ``r`` is the rank of that prefix."""
+    active, length = active.drop("long"), 1
     while length < min_lines:
         step = min(length, min_lines - length)
-        active = cut(active)
-        ahead = active.select("id", "print", (F.col("idx") - step).alias("idx"), F.col("lines").alias("more"), F.col("r").alias("r2"))
-        pairs = cut(active.join(ahead, ["id", "print", "idx"]))
-        names = pairs.groupBy("r", "r2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r", "r2")
-        longer = F.concat("lines", F.slice("more", length - step + 1, step))
-        active = pairs.join(ranked(names, ["r", "r2"], "rank"), ["r", "r2"]).select("id", "print", "idx", longer.alias("lines"), F.col("rank").alias("r"))
+        active = longer(active, length, step)
         length += step
-    return cut(active)
+    return active
+
+
+def run_lengths(active: DataFrame) -> DataFrame:
+    """Rows (id, print, idx, run): for each suffix the most lines from its first that also occur elsewhere, 1 or more.
+
+    Doubling goes on until no prefix is repeated; level k holds the suffixes whose first 2^k
+    lines are repeated, in one interval of the suffix array for each rank.  A suffix that is
+    in level k, not in the next, has between 2^k and 2^(k+1) lines in common with the
+    nearest of its interval.  These are found from level k - 1 down to 0: an interval is cut
+    by the rank of what follows the lines already known to be common.  Members that share it
+    go on behind it; where one is alone its interval also stays as it is, for the lower levels.
+    """
+    place = ["id", "print", "idx"]
+    levels = [active.select(*place, "r")]
+    while not levels[-1].isEmpty():
+        length = 1 << (len(levels) - 1)
+        one = levels[-1].withColumn("lines", F.array().cast("array<int>"))
+        levels.append(longer(one, length, length).select(*place, "r"))
+    levels.pop()
+    done: list[DataFrame] = []
+    going: DataFrame | None = None  # (id, print, idx, interval, had, open): ``open`` rows still look for their length
+    for k in range(len(levels) - 1, -1, -1):
+        if going is not None:
+            ahead = levels[k].select("id", "print", F.col("idx").alias("at"), F.col("r").alias("next"))
+            rows = cut(going.withColumn("at", F.col("idx") + F.col("had")).join(ahead, ["id", "print", "at"], "left").drop("at"))
+            parts = rows.where("next is not null").groupBy("interval", "had", "next").agg(F.count(F.lit(1)).alias("n"))
+            parts = cut(parts)
+            known = split_join(rows.where("next is not null"), parts, ["interval", "had", "next"], "n")
+            known = cut(known.unionByName(rows.where("next is null").withColumn("n", F.lit(1).cast("long"))))
+            moved = known.where("n > 1").select(*place, F.xxhash64("interval", "had", "next").alias("interval"), (F.col("had") + (1 << k)).alias("had"), "open")
+            left = known.select(*place, "interval", "had", (F.col("open") & (F.col("n") < 2)).alias("open"))
+            going = _wanted(moved.unionByName(left))
+        last = levels[k].join(levels[k + 1], place, "left_anti") if k + 1 < len(levels) else levels[k]
+        if k == 0:
+            done.append(last.select(*place, F.lit(1).alias("run")))
+        else:
+            ends = last.select(*place, F.lit(True).alias("open"))
+            members = levels[k].join(ends, place, "left").select(*place, F.xxhash64(F.lit(k), "r").alias("interval"), F.lit(1 << k).alias("had"), F.coalesce("open", F.lit(False)).alias("open"))
+            members = _wanted(members)
+            going = members if going is None else cut(going.unionByName(members))
+    if going is not None:
+        done.append(going.where("open").select(*place, F.col("had").alias("run")))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _wanted(rows: DataFrame) -> DataFrame:
+    """The rows of intervals in which some row is still open."""
+    rows = cut(rows)
+    open_ones = cut(rows.groupBy("interval", "had").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n")).where("some").drop("some"))
+    return cut(split_join(rows, open_ones, ["interval", "had"], "n").drop("n"))
+
+
+def _later(windows: DataFrame) -> DataFrame:
+    """The windows that are not the first of their rank."""
+    place = F.struct("id", "print", "idx")
+    first = cut(windows.groupBy("r").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
+    return split_join(windows, first, "r", "n").where(~place.eqNullSafe(F.col("first")))
 
 
-def later_copies(docs: DataFrame, id_col: str, text_col: str, min_lines: int = MIN_LINES) -> DataFrame:
-    """Rows (id, print, gone): the line numbers of each text that repeat an earlier run."""
+def later_copies(active: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """Rows (id, print, gone): the line numbers of each text that repeat an earlier run; ``active``: its repeated lines."""
     if min_lines < 1:
         raise ValueError("min_lines has to be at least 1")
-    windows = repeated_windows(stage(line_ids(docs, id_col, text_col)), min_lines)
-    place = F.struct("id", "print", "idx")
-    first = cut(windows.groupBy("r").agg(F.min(place).alias("first")))
-    copies = windows.join(first, "r").where(place != F.col("first"))
-    gone = copies.select("id", "print", F.explode("lines").alias("line")).distinct()
+    found = _later(repeated_windows(active, min_lines)).select("id", "print", "lines")
+    if min_lines > 1:
+        found = found.unionByName(_later(active.where("long").drop("long")).select("id", "print", "lines"))
+    gone = found.select("id", "print", F.explode("lines").alias("line")).distinct()
     return gone.groupBy("id", "print").agg(F.sort_array(F.collect_list("line")).alias("gone"))  # at most a text's own lines
 
 
-def with_kept_text(docs: DataFrame, id_col: str, text_col: str, min_lines: int, kept: str, gone: str) -> DataFrame:
-    """``docs`` with the text without later copies and the line numbers left out."""
-    found = later_copies(docs, id_col, text_col, min_lines)
+def with_kept_text(docs: DataFrame, id_col: str, text_col: str, min_lines: int, kept: str, gone: str, active: DataFrame | None = None) -> DataFrame:
+    """``docs`` with the text without later copies and the line numbers left out; ``active``: the repeated lines, if they are known."""
+    if min_lines < 1:
+        raise ValueError("min_lines has to be at least 1")
+    active = repeated_lines(stage(line_ids(docs, id_col, text_col))) if active is None else active
+    found = later_copies(active, min_lines)
     names = {c: fresh(docs, c) for c in ("id", "print")}
     found = cut(found.select(F.col("id").alias(names["id"]), F.col("print").alias(names["print"]), F.col("gone").alias(gone)))
     texts, numbers = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(gone)), F.lit(0))).first()
     if texts <= BROADCAST_TEXTS and numbers <= BROADCAST_LINES:
         found = F.broadcast(found)  # else the texts are shuffled by id
-    joined = docs.join(found, (_id(id_col) == F.col(names["id"])) & (_print(text_col) == F.col(names["print"])), "left")
+    joined = docs.join(found, _id(id_col).eqNullSafe(F.col(names["id"])) & (_print(text_col) == F.col(names["print"])), "left")
     lines = F.split(col(text_col), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     return joined.select(*[col(c) for c in docs.columns], text.alias(kept), F.coalesce(F.col(gone), F.array().cast("array<int>")).alias(gone))
 
 
+def runs_of_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+    """One row per text: id, n_removed, removed_lines, kept (the text that stays) and longest_run (lines that also occur elsewhere, 0 if none)."""
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    active = repeated_lines(stage(line_ids(texts, "id", "text")))
+    runs = cut(run_lengths(active).groupBy("id", "print").agg(F.max("run").alias("run")))
+    found = with_kept_text(texts, "id", "text", min_lines, "kept", "gone", active)
+    names = runs.select(F.col("id").alias("by_id"), F.col("print").alias("by_print"), "run")
+    found = found.join(names, _id("id").eqNullSafe(F.col("by_id")) & (_print("text") == F.col("by_print")), "left")
+    return found.select(
+        F.col("id").alias(id_col), F.size("gone").cast("long").alias("n_removed"), F.col("gone").alias("removed_lines"), "kept", F.coalesce("run", F.lit(0)).cast("long").alias("longest_run")
+    )
+
+
 def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with later copies cut from the texts; texts that have no word left are dropped."""
     kept, gone = fresh(docs, "kept"), fresh(docs, "gone")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.license_scan import KNOWN, SPELLINGS
-from tidemark.llm.line_dedup import MIN_LINES
+from tidemark.llm.line_dedup import LONG_WORDS, MIN_LINES
 from tidemark.llm.quality_rules import FEATURES, MIN_ROWS, MIN_WORDS, SPREAD
 
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -28,16 +28,22 @@ def line_dedup() -> str:
     ahead = ", ".join(f"lead(t, {i}) OVER w AS t{i}" for i in range(1, MIN_LINES))
     key = ", ".join(["t"] + [f"t{i}" for i in range(1, MIN_LINES)])
     whole = " AND ".join([f"t{i} IS NOT NULL" for i in range(1, MIN_LINES)]) or "true"
-    return f"""
-WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+    return rf"""
+WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
 solid AS (SELECT doc_id, i, trim(line, {SPACE}) AS t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS idx FROM lines WHERE trim(line, {SPACE}) <> ''),
 windows AS (SELECT doc_id, idx, t, {ahead or '1 AS one'} FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
 copies AS (SELECT doc_id, idx FROM windows WHERE {whole} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY doc_id, idx) > 1),
-gone AS (SELECT DISTINCT s.doc_id, s.i FROM copies c, range({MIN_LINES}) r(k), solid s WHERE s.doc_id = c.doc_id AND s.idx = c.idx + k),
+alone AS (SELECT doc_id, i FROM solid WHERE len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= {LONG_WORDS} QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, idx) > 1),
+gone AS (SELECT DISTINCT s.doc_id, s.i FROM copies c, range({MIN_LINES}) r(k), solid s WHERE s.doc_id = c.doc_id AND s.idx = c.idx + k UNION SELECT doc_id, i FROM alone),
 lists AS (SELECT doc_id, count(*) AS n, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS removed FROM gone GROUP BY doc_id),
-kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) AS text FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i WHERE g.i IS NULL GROUP BY l.doc_id)
-SELECT d.doc_id, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed_lines, CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS kept_md5
-FROM documents d LEFT JOIN lists USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
+kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) AS text FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i WHERE g.i IS NULL GROUP BY l.doc_id),
+runs AS (SELECT doc_id, idx, 1 AS len, md5(t) AS k FROM solid QUALIFY count(*) OVER (PARTITION BY t) > 1
+  UNION ALL SELECT doc_id, idx, len, k FROM (SELECT r.doc_id, r.idx, r.len + 1 AS len, md5(r.k || s.t) AS k, count(*) OVER (PARTITION BY md5(r.k || s.t)) AS c
+    FROM runs r JOIN solid s ON s.doc_id = r.doc_id AND s.idx = r.idx + r.len) WHERE c > 1),
+longest AS (SELECT doc_id, max(len) AS longest_run FROM runs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed_lines, CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS kept_md5,
+  CAST(coalesce(longest_run, 0) AS BIGINT) AS longest_run
+FROM documents d LEFT JOIN lists USING (doc_id) LEFT JOIN kept k USING (doc_id) LEFT JOIN longest USING (doc_id)"""
 
 
 def license_scan() -> str:
