@@ -271,3 +271,143 @@ def test_server(server):
 def test_server_deadline(server):
     slow = "SELECT count(*) FROM range(100000000000) a WHERE sqrt(a.id) % 7 = 3"
     assert ask(server, {"sql": slow})[0] == 504
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT " + ", ".join(f"{i} AS c{i}" for i in range(40)) + ", reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT `reflect` ('java.lang.System', 'exit', 0)",
+        "SELECT try_reflect/* x */('java.lang.System', 'exit', 0)",
+        "SELECT sum(1) OVER w FROM t WINDOW w AS (ORDER BY java_method('java.lang.System', 'exit', 0))",
+        "SELECT * FROM VALUES (reflect('java.lang.System', 'exit', 0))",
+        "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'exit', 0)",
+        "SELECT a FROM t WHERE EXISTS (SELECT nothing_known(1))",
+    ],
+)
+def test_readonly_refuses_calls(spark, sql):
+    with pytest.raises(readonly.Refused):
+        readonly.check(spark, sql)
+
+
+def test_readonly_takes_names_in_text(spark):
+    readonly.check(spark, "SELECT 'reflect(1)' AS a, reflect AS b, upper('x') AS c FROM t -- reflect('x')")
+    readonly.check(spark, "SHOW DATABASES")
+
+
+def change(seq, kind, after=None, sql=None, tbl="a", gtid=None):
+    return (seq, "f", seq, gtid or f"u:{seq}", "demo", tbl, kind, None, after and json.dumps(after), sql)
+
+
+def test_replay_after_rename_and_drop(spark, catalog):
+    made = "CREATE TABLE {} (id BIGINT PRIMARY KEY, name VARCHAR(9))"
+    log = [
+        change(1, "ddl", sql=made.format("a")), change(2, "insert", {"id": 1, "name": "x"}), change(3, "ddl", sql="RENAME TABLE a TO b"),
+        change(4, "insert", {"id": 2, "name": "y"}, tbl="b"), change(5, "ddl", sql=made.format("c")), change(6, "insert", {"id": 1, "name": "z"}, tbl="c"),
+        change(7, "ddl", sql="DROP TABLE c"), change(8, "strange", {"id": 9}, tbl="b"), change(9, "ddl", sql="DROP TEMPORARY TABLE b"),
+    ]
+    batch = spark.createDataFrame(log, CHANGELOG)
+    applier = Applier(catalog, Scope(("demo",)))
+    counts = [applier.run(batch) for _ in range(3)]
+    assert counts == [3, 0, 0]
+    assert catalog.tables() == [("demo", "b")] and rows(catalog.read("demo", "b")) == [(1, "x"), (2, "y")]
+
+
+def test_old_log_over_a_newer_snapshot(spark, catalog, tmp_path):
+    spark.createDataFrame([(i, f"n{i}") for i in range(5)], "id bigint, name string").write.parquet(f"{tmp_path}/src/users.parquet")
+    source = ParquetSource(spark, f"file://{tmp_path}/src", "demo", {"users": ["id"]}, {"file": "", "pos": 0, "gtid": "u:1-100"})
+    snapshot(catalog, source, 2)
+    log = [
+        change(1, "ddl", sql="TRUNCATE TABLE users", tbl="users", gtid="u:50"), change(2, "insert", {"id": 0, "name": "old"}, tbl="users", gtid="u:51"),
+        change(3, "insert", {"id": 7, "name": "new"}, tbl="users", gtid="u:101"),
+    ]
+    applier = Applier(catalog, Scope(("demo",)))
+    for _ in range(2):
+        applier.run(spark.createDataFrame(log, CHANGELOG))
+        assert rows(catalog.read("demo", "users")) == [(0, "n0"), (1, "n1"), (2, "n2"), (3, "n3"), (4, "n4"), (7, "new")]
+    assert catalog.get("demo", "users").position["gtid"] == "u:1-101"
+
+
+def test_gateway_reads_the_latest_version(spark, catalog):
+    catalog.create("main", "order", USERS, ["id"], 2)
+    catalog.create("demo", "users", USERS, ["id"], 2)
+    of = lambda n: spark.createDataFrame([(i, f"n{i}", i) for i in range(n)], "id bigint, name string, n int")
+    catalog.upsert("main", "order", of(3), "n")
+    before = spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers")
+    gateway = Gateway(spark, catalog)
+    count = 'select count(*) AS n from main."order"'
+    assert gateway.query(count).rows == [{"n": 3}]
+    catalog.upsert("main", "order", of(9), "n")
+    catalog.upsert("demo", "users", of(4), "n")
+    assert gateway.query(count).rows == [{"n": 9}]
+    joined = "SELECT users.name AS name, 'demo.users' AS t FROM demo.users JOIN main.order o ON users.id = o.id WHERE demo.users.id > 2"
+    assert gateway.query(joined).rows == [{"name": "n3", "t": "demo.users"}]
+    assert gateway.query("SELECT max(u.id) AS m FROM demo.users AS u").rows == [{"m": 3}]
+    assert gateway.query("SHOW DATABASES").rows == [{"namespace": "demo"}, {"namespace": "main"}]
+    catalog.drop("demo", "users")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        gateway.query("SELECT 1 FROM demo_users")
+    assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == before
+    with pytest.raises(TimeoutError):
+        Gateway(spark, catalog, timeout_s=1).query("SELECT count(*) FROM range(100000000000) a WHERE sqrt(a.id) % 7 = 3")
+
+
+def test_buckets_follow_the_rows(spark, catalog, monkeypatch):
+    from tidemark.operators import store
+
+    monkeypatch.setattr(store, "BUCKET_ROWS", 100)
+    catalog.create("demo", "t", T.StructType().add("id", T.LongType(), False), ["id"])
+    assert catalog.load("demo", "t", spark.range(500), about=500).buckets == store.FIRST_BUCKETS
+    assert catalog.load("demo", "t", spark.range(5000), about=5000).buckets == 50
+    catalog.insert("demo", "t", spark.range(5000, 9000))
+    assert catalog.rebucket("demo", "t").buckets == 90 and catalog.read("demo", "t").distinct().count() == 9000
+
+
+def test_engine_follows_and_serves(spark, tmp_path, sf_dir):
+    import time
+
+    from tidemark.engine import Engine
+
+    settings = Settings.of({"sync": {"databases": ["demo"], "checkpoint_path": f"file://{tmp_path}/cp"}, "duckdb": {"path": f"file://{tmp_path}/t"}, "query_api": {"listen": "127.0.0.1:0"}})
+    source = ParquetSource(spark, sf_dir, "demo", {"region": ["r_regionkey"]}, {"file": "f", "pos": 1, "gtid": ""})
+    (tmp_path / "log").mkdir()
+    ask_rows = json.dumps({"sql": "SELECT count(*) AS n FROM demo.region"}).encode()
+    with Engine(spark, settings, source) as engine:
+        engine.run(f"file://{tmp_path}/log", follow=True)
+        line = dict(zip(CHANGELOG.names, change(5, "insert", {"r_regionkey": 77, "r_name": "NEW"}, tbl="region"), strict=True))
+        (tmp_path / "log" / "1.json").write_text(json.dumps(line))
+        for _ in range(60):
+            with urllib.request.urlopen(urllib.request.Request(f"{engine.server.address}/v1/sql/query", ask_rows)) as answer:
+                found = json.load(answer)["rows"]
+            if found == [{"n": 6}]:
+                break
+            time.sleep(0.5)
+        assert found == [{"n": 6}] and engine.position()["seq"] == 5
+    assert not engine.query.isActive
+
+
+def test_jdbc_source_by_a_stub(spark, monkeypatch):
+    from tidemark.operators.ranges import Range
+    from tidemark.sources.snapshot import JdbcSource
+
+    asked = []
+
+    def query(self, sql):
+        asked.append(sql)
+        if "information_schema.COLUMNS" in sql:
+            return spark.createDataFrame([("name", "varchar(9)", "YES", "", 2), ("id", "bigint unsigned", "NO", "PRI", 1)], "n string, t string, o string, k string, p int")
+        if "TABLE_ROWS" in sql:
+            return spark.createDataFrame([(12,)], "n long")
+        if "gtid_executed" in sql:
+            return spark.createDataFrame([("u:1-5,\nv:1",)], "g string")
+        if "MIN(" in sql:
+            return spark.createDataFrame([("1", "9")], "a string, b string")
+        return spark.createDataFrame([("users",), ("audit",)], "n string")
+
+    monkeypatch.setattr(JdbcSource, "query", query)
+    source = JdbcSource(spark, Settings.of({"sync": {"databases": ["de'mo"]}}).mysql, Scope(("de'mo",), (), ("audit",)))
+    (table,) = source.tables()
+    assert (table.name, table.key, [f.dataType.simpleString() for f in table.struct]) == ("users", ("id",), ["decimal(20,0)", "string"])
+    assert source.ranges(table, 2) == [Range("id", 1, 5, False), Range("id", 5, 9, True)]
+    assert source.estimated_rows(table) == 12 and source.position() == {"file": "", "pos": 0, "gtid": "u:1-5,v:1"}
+    assert any("'de''mo'" in q for q in asked)

@@ -1,4 +1,4 @@
-"""python -m tidemark -config FILE [-changes FOLDER] [-debug] [-version]"""
+"""python -m tidemark -config FILE [-changes FOLDER] [-follow] [-debug] [-version]"""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidemark")
     parser.add_argument("-config", default="configs/config.yaml")
     parser.add_argument("-changes", help="folder of change log files to follow after the snapshot")
+    parser.add_argument("-follow", action="store_true", help="go on with changes that come, until stopped")
     parser.add_argument("-debug", action="store_true")
     parser.add_argument("-version", action="store_true")
     given = parser.parse_args(args)
@@ -34,9 +35,12 @@ def main(args: list[str] | None = None) -> int:
             stopped = threading.Event()
             for s in (signal.SIGINT, signal.SIGTERM):
                 signal.signal(s, lambda *_: stopped.set())
-            engine.run(given.changes)
-            if settings.query_api.listen:
-                stopped.wait()
+            engine.run(given.changes, follow=given.follow)
+            if settings.query_api.listen or given.follow:
+                while not stopped.wait(1) and (engine.query is None or not given.follow or engine.query.isActive):
+                    pass
+                if engine.query is not None and engine.query.exception() is not None:
+                    raise engine.query.exception()
         return 0
     except Exception:
         logging.exception("stopped")

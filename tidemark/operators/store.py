@@ -8,6 +8,10 @@ is applied once, however often it is delivered.  Readers keep the version they o
 
 Applying a batch rewrites only the buckets it touches; adding, dropping and renaming columns
 or tables and truncating write a manifest and no data.
+
+The folder has to be on a file system where renaming onto an existing name fails (HDFS, a
+local disk).  Object stores without conditional writes do not give that, so there only one
+writer may commit at a time.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ ATTEMPTS = 8
 WAIT_S = 0.005
 #: Rows a bucket is meant to hold when a table is first written.
 BUCKET_ROWS = 2_000_000
-MOST_BUCKETS = 4096
+MOST_BUCKETS = 65_536
+FIRST_BUCKETS = 16
 
 
 class Conflict(RuntimeError):
@@ -148,11 +153,22 @@ class Catalog:
 
     def get(self, schema: str, table: str, version: int | None = None) -> Manifest | None:
         """A version of a table, the latest by default; None if there is none or it was dropped."""
-        known = self.versions(schema, table)
-        if not known:
-            return None
-        found = Manifest.from_json(self.files.read(f"{self._home(schema, table)}/manifests/v{known[-1] if version is None else version:012d}.json"))
-        return None if found.dropped else found
+        found = self.last(schema, table, version)
+        return None if found is None or found.dropped else found
+
+    def last(self, schema: str, table: str, version: int | None = None) -> Manifest | None:
+        """Like :meth:`get`, but a dropped table's last version too, with the position at which it was dropped."""
+        return self._version(self._home(schema, table), version)
+
+    def _version(self, home: str, version: int | None = None) -> Manifest | None:
+        if version is None:
+            known = [n for n in self.files.names(f"{home}/manifests") if n.startswith("v") and n.endswith(".json")]
+            if not known:
+                return None
+            name = max(known)
+        else:
+            name = f"v{version:012d}.json"
+        return Manifest.from_json(self.files.read(f"{home}/manifests/{name}"))
 
     def need(self, schema: str, table: str) -> Manifest:
         found = self.get(schema, table)
@@ -161,15 +177,8 @@ class Catalog:
         return found
 
     def tables(self) -> list[tuple[str, str]]:
-        found = [(s, t) for s in self.files.names(self.root) for t in self.files.names(f"{self.root}/{s}") if not s.startswith("_")]
-        return [(s, t) for s, t in found if self._latest(s, t) is not None]
-
-    def _latest(self, schema: str, table: str) -> Manifest | None:
-        keep, self.target_schema = self.target_schema, lambda s: s
-        try:
-            return self.get(schema, table)
-        finally:
-            self.target_schema = keep
+        found = [(s, t) for s in self.files.names(self.root) if not s.startswith("_") for t in self.files.names(f"{self.root}/{s}")]
+        return [(s, t) for s, t in found if (m := self._version(f"{self.root}/{s}/{t}")) is not None and not m.dropped]
 
     def commit(self, manifest: Manifest, schema: str, table: str) -> Manifest:
         """Make ``manifest`` the next version; Conflict if there is one already."""
@@ -182,8 +191,8 @@ class Catalog:
 
     # Definitions
 
-    def create(self, schema: str, table: str, struct: T.StructType, key: Sequence[str], buckets: int = 16) -> Manifest:
-        """Create a table unless it exists; an existing one keeps its definition."""
+    def create(self, schema: str, table: str, struct: T.StructType, key: Sequence[str], buckets: int = FIRST_BUCKETS) -> Manifest:
+        """Create a table unless it exists; an existing one keeps its definition.  :meth:`load` sets the buckets by the rows."""
         known = self.versions(schema, table)
         found = self.get(schema, table)
         if found is not None:
@@ -191,19 +200,24 @@ class Catalog:
         fields = tuple(Field(i, f.name, f.dataType.simpleString(), f.nullable and f.name not in key) for i, f in enumerate(struct.fields))
         return self.commit(Manifest(schema, table, known[-1] if known else -1, fields, tuple(key), buckets, next_id=len(fields)), schema, table)
 
-    def drop(self, schema: str, table: str) -> None:
+    def drop(self, schema: str, table: str, position: dict | None = None) -> None:
+        """The last version says that there is no table, and since which position."""
         found = self.get(schema, table)
         if found is not None:
-            self.commit(replace(found, dropped=True, files={}), schema, table)
+            self.commit(replace(found, dropped=True, files={}, position=merged(found.position, position)), schema, table)
 
-    def rename(self, schema: str, table: str, new_table: str) -> Manifest:
-        """Within one schema; files stay where they are, as manifests name them by path."""
-        found = self.need(schema, table)
-        if self.get(schema, new_table) is not None:
+    def rename(self, schema: str, table: str, new_table: str, position: dict | None = None) -> Manifest:
+        """Within one schema; files stay where they are, as manifests name them by path.
+
+        With a position, a rename that was cut off after its first half is finished.
+        """
+        found, there = self.need(schema, table), self.get(schema, new_table)
+        if there is not None and (position is None or (there.position or {}).get("ddl") != position.get("ddl")):
             raise ValueError(f"{schema}.{new_table} exists")
         known = self.versions(schema, new_table)
-        made = self.commit(replace(found, version=known[-1] if known else -1), schema, new_table)
-        self.commit(replace(found, dropped=True, files={}), schema, table)
+        moved = replace(found, version=known[-1] if known else -1, position=merged(found.position, position))
+        made = there or self.commit(moved, schema, new_table)
+        self.drop(schema, table, position)
         return made
 
     def add_column(self, schema: str, table: str, name: str, kind: T.DataType) -> Manifest:
@@ -252,11 +266,37 @@ class Catalog:
                 out[int(part[7:])] = tuple(f"{folder}/{part}/{n}" for n in self.files.names(f"{folder}/{part}") if n.endswith(".parquet"))
         return out
 
-    def load(self, schema: str, table: str, rows: DataFrame, position: dict | None = None) -> Manifest:
-        """Replace all rows: truncate and reload in one version.  Keys have to be unique and not null."""
+    def load(self, schema: str, table: str, rows: DataFrame, position: dict | None = None, about: int | None = None) -> Manifest:
+        """Replace all rows: truncate and reload in one version.  Keys have to be unique and not null.
+
+        The rows are read once and written; their keys are checked where they were written.
+        ``about`` is how many rows are expected, which sets the number of buckets.
+        """
         m = self.need(schema, table)
-        self._check_key(m, rows)
-        return self.commit(replace(m, files=self._write(m, rows), position=position or m.position), schema, table)
+        if about is not None:
+            m = replace(m, buckets=max(FIRST_BUCKETS, min(MOST_BUCKETS, -(-about // BUCKET_ROWS))))
+        made = replace(m, files=self._write(m, rows), position=position or m.position)
+        try:
+            self._check_key(m, self._rows(made, None))
+        except ValueError:
+            self._forget(made)
+            raise
+        return self.commit(made, schema, table)
+
+    def _forget(self, m: Manifest) -> None:
+        """Delete the files of a version that is not committed."""
+        for folder in {p.rsplit("/bucket=", 1)[0] for files in m.files.values() for p in files}:
+            self.files.delete(folder)
+
+    def rebucket(self, schema: str, table: str) -> Manifest:
+        """Deal a table that has grown into as many buckets as its rows ask for; one reading and writing, no other change."""
+        m = self.need(schema, table)
+        rows = self._rows(m, None)
+        wanted = max(FIRST_BUCKETS, min(MOST_BUCKETS, -(-rows.count() // BUCKET_ROWS)))  # counted from the files' footers
+        if wanted <= m.buckets:
+            return m
+        m = replace(m, buckets=wanted)
+        return self.commit(replace(m, files=self._write(m, rows)), schema, table)
 
     def insert(self, schema: str, table: str, rows: DataFrame) -> Manifest:
         """Append; a key that exists is an error."""
@@ -329,20 +369,21 @@ class Catalog:
         """A temporary view per table, bound to its latest version: schema_table, and the bare name in ``main``."""
         made = []
         for schema, table in self.tables():
-            m = self._latest(schema, table)
-            view = table if schema == "main" else f"{schema}_{table}"
-            self._rows(m, None).createOrReplaceTempView(view)
-            made.append(view)
+            self._rows(self._version(f"{self.root}/{schema}/{table}"), None).createOrReplaceTempView(view_name(schema, table))
+            made.append(view_name(schema, table))
         return made
 
 
+def view_name(schema: str, table: str) -> str:
+    return table if schema == "main" else f"{schema}_{table}"
+
+
 def merged(old: dict | None, new: dict | None) -> dict | None:
-    """A position never loses a known transaction set."""
+    """A position never loses a known transaction set, nor what its snapshot and last schema change were."""
     if new is None:
         return old
-    if old and old.get("gtid") and not new.get("gtid"):
-        return new | {"gtid": old["gtid"]}
-    return new
+    kept = {k: old[k] for k in ("gtid", "base", "ddl") if old and old.get(k) and not new.get(k)}
+    return new | kept
 
 
 def add_gtid(known: str, more: str) -> str:

@@ -25,11 +25,17 @@ READING = {
     "UnresolvedWith", "WithCTE", "CTERelationDef", "CTERelationRef", "UnresolvedCTERelationPlans", "Generate", "Window", "WithWindowDefinition", "Pivot", "Unpivot",
     "UnresolvedHaving", "Sample", "LocalRelation", "UnresolvedTableValuedFunction", "UnresolvedTVFAliases", "Expand", "UnresolvedHint",
     "UnionLoop", "UnionLoopRef", "RepartitionByExpression", "RebalancePartitions", "Subquery", "AsOfJoin", "UnresolvedOrdinal", "PipeExpression",
-    "ShowTables", "ShowColumns", "DescribeRelation", "DescribeQueryCommand", "ExplainCommand", "UnresolvedTableOrView", "UnresolvedNamespace", "CurrentNamespace",
+    "ShowTables", "ShowColumns", "ShowNamespaces", "ShowNamespacesCommand", "DescribeRelation", "DescribeQueryCommand", "ExplainCommand", "UnresolvedTableOrView", "UnresolvedNamespace", "CurrentNamespace",
 }
 #: Formats whose files Spark reads by path in the place of a table.
 FORMATS = {"csv", "json", "parquet", "orc", "text", "avro", "xml", "binaryfile", "image", "libsvm", "jdbc", "delta", "iceberg", "hudi"}
-_FUNCTIONS = re.compile(r"'?\b(?:reflect|java_method|try_reflect|read_files)\s*\(", re.I)
+#: Built-in functions that run any method of the virtual machine.
+CALLS = {"reflect", "java_method", "try_reflect"}
+#: Table functions that make rows from their arguments alone.
+TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "sequence", "json_tuple"}
+#: Expressions whose function is named by a value, so that the text does not show it.
+NAMED_LATER = {"ExpressionWithUnresolvedIdentifier", "PythonUDF", "ScalaUDF", "CallMethodViaReflection", "TryReflect"}
+_LEXED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|--[^\n]*|/\*.*?\*/|(?P<name>"(?:[^"]|"")*"|`(?:[^`]|``)*`|[^\W\d]\w*)(?=(?P<call>(?:\s|--[^\n]*\n|/\*.*?\*/)*\())?""", re.S)
 
 
 class Refused(ValueError):
@@ -50,14 +56,17 @@ def text_allows(sql: str) -> bool:
     return upper.startswith(OPENERS) and not any(f" {w} " in f" {upper} " for w in REFUSED)
 
 
+def _items(found):
+    return [found.apply(i) for i in range(found.size())]
+
+
 def _walk(plan):
     todo = [plan]
     while todo:
         node = todo.pop()
         yield node
         for group in (node.children(), node.innerChildren()):
-            for i in range(group.size()):
-                child = group.apply(i)
+            for child in _items(group):
                 if hasattr(child, "children") and "logical" in child.getClass().getName() or "analysis" in child.getClass().getName():
                     todo.append(child)
         name = node.nodeName()
@@ -65,9 +74,28 @@ def _walk(plan):
             todo.append(node.logicalPlan())
         elif name == "DescribeQueryCommand":
             todo.append(node.plan())
-        expressions = node.subqueries()
-        for i in range(expressions.size()):
-            todo.append(expressions.apply(i))
+        todo += _items(node.subqueries())
+
+
+def _expressions(node):
+    """All expressions of a plan node, and those within them."""
+    todo = _items(node.expressions())
+    if node.nodeName().strip("'$") == "WithWindowDefinition":  # kept in a map, which expressions() leaves out
+        todo += _items(node.windowDefinitions().values().toSeq())
+    while todo:
+        one = todo.pop()
+        yield one
+        todo += _items(one.children())
+
+
+def _built_in(spark: SparkSession) -> set[str]:
+    known = spark._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.builtin().listFunction()
+    return {f.funcName().lower() for f in _items(known)}
+
+
+def _calls(sql: str) -> set[str]:
+    """The names before an opening parenthesis, outside literals and comments."""
+    return {m["name"].strip("`\"").lower() for m in _LEXED.finditer(sql) if m["name"] and m["call"]}
 
 
 def check(spark: SparkSession, sql: str) -> None:
@@ -77,10 +105,19 @@ def check(spark: SparkSession, sql: str) -> None:
         text = text[:-1].rstrip()
     if not text:
         raise Refused("empty statement")
+    sessions = SparkSession._get_j_spark_session_class(spark._jvm)
+    before = sessions.getActiveSession()
     try:
+        sessions.setActiveSession(spark._jsparkSession)  # the parser takes its settings from the active session
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
     except Exception as e:
         raise Refused(str(getattr(e, "desc", None) or getattr(e, "java_exception", None) or e).split("\n")[0]) from None
+    finally:
+        if before.isDefined():
+            sessions.setActiveSession(before.get())
+    if _calls(text) & CALLS:
+        raise Refused("calls into the virtual machine are not allowed")
+    allowed: set[str] = set()
     for node in _walk(plan):
         name = node.nodeName().strip("'$")
         if name not in READING:
@@ -92,7 +129,16 @@ def check(spark: SparkSession, sql: str) -> None:
                 raise Refused("files cannot be read by path")
         if name == "Join" and "POSITIONAL" in text.upper() and re.search(r"\bPOSITIONAL\s+JOIN\b", text, re.I):
             raise Refused("positional joins are not supported")
-        if name == "UnresolvedTableValuedFunction" and not re.search(r"\[(?:range|explode|posexplode|inline|stack|sequence|json_tuple)\b", node.simpleString(25), re.I):
-            raise Refused("this table function is not allowed")
-    if _FUNCTIONS.search(plan.toString()):
-        raise Refused("calls into the virtual machine are not allowed")
+        if name == "UnresolvedTableValuedFunction":
+            called = [str(x).lower() for x in _items(node.name())]
+            if len(called) != 1 or called[0] not in TABLE_FUNCTIONS:
+                raise Refused("this table function is not allowed")
+        for one in _expressions(node):
+            kind = one.getClass().getSimpleName()
+            if kind in NAMED_LATER:
+                raise Refused("functions have to be called by their names")
+            if kind == "UnresolvedFunction":
+                allowed = allowed or _built_in(spark) - CALLS
+                called = [str(x).lower() for x in _items(one.nameParts())]
+                if called[-1] not in allowed or len(called) > 1:
+                    raise Refused(f"the function {'.'.join(called)} is not allowed")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.source_types import Mode, is_integer, spark_type
@@ -63,15 +64,12 @@ class ParquetSource:
         return ranges_of(self.frame(table.name), table.key, parts)
 
     def read(self, table: Table, ranges: Sequence[Range]) -> DataFrame:
-        """One scan: ranges of one file set are its row groups already, and the union of all ranges is the table."""
+        """One scan of the ranges: files are cut by their row groups, so ranges are a condition and not scans of their own."""
+        held = F.lit(False)
+        for r in ranges:
+            held |= r.holds()
         whole = self.frame(table.name)
-        if len(ranges) == 1 and ranges[0].column is None:
-            return whole
-        parts = [whole.where(r.holds()) for r in ranges]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return whole if any(r.column is None for r in ranges) else whole.where(held)
 
     def estimated_rows(self, table: Table) -> int:
         return self.frame(table.name).count()  # from the files' footers
@@ -163,6 +161,8 @@ def snapshot(catalog: Catalog, source: TableSource, parts: int = 4) -> dict[tupl
     error stops what has not begun and is raised; its table keeps its former version.
     """
     position = source.position()
+    if position is not None:
+        position = position | {"base": dict(position)}  # changes up to here are in the copy
     tables = source.tables()
 
     def copy(table: Table) -> Manifest:
@@ -173,8 +173,9 @@ def snapshot(catalog: Catalog, source: TableSource, parts: int = 4) -> dict[tupl
             log.warning("%s.%s is read in one piece: %s", table.schema, table.name, e)
             ranges = [Range()]
         rows = shaped(source.read(table, ranges), [f.name for f in catalog.need(table.schema, table.name).fields])
-        with Watch(catalog.spark, f"{table.schema}.{table.name}", source.estimated_rows(table)):
-            return catalog.load(table.schema, table.name, rows, position)
+        about = source.estimated_rows(table)
+        with Watch(catalog.spark, f"{table.schema}.{table.name}", about):
+            return catalog.load(table.schema, table.name, rows, position, about)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parts, len(tables) or 1))) as pool:
         jobs = {pool.submit(copy, t): t for t in tables}
