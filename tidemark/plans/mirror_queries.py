@@ -90,11 +90,13 @@ def truncate_reload(spark, sf_dir):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that driver and executors share; a temporary one only where none is configured."""
+    """A folder that driver and executors share.  Where none is configured: an error on a cluster, a temporary one on one machine (tests)."""
     import tempfile
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tidemark-")
 
 
@@ -313,6 +315,13 @@ STATEMENTS = (
     ("ALTER TABLE t ADD COLUMN (a INT, b INT)", ("add_column", "t", "COLUMN"), ("add_column", "t", "a")),
     ("ALTER TABLE t ADD COLUMN IF NOT EXISTS a INT", ("add_column", "t", "IF"), ("add_column", "t", "a")),
     ("DROP TABLE `my-tbl`", ("drop", "my", ""), ("drop", "my-tbl", "")),
+    ("ALTER TABLE t ADD COLUMN a INT, ADD COLUMN b INT", ("add_column", "t", "a"), ("add_column", "t", "a")),
+    ("ALTER TABLE t ADD COLUMN a DECIMAL(12, 2)", ("add_column", "t", "a"), ("add_column", "t", "a")),
+    ("DROP TABLE a, b", ("drop", "a", ""), ("drop", "a", "")),
+    ("DROP TEMPORARY TABLE t", ("unsupported", "", ""), None),
+    ("CREATE TEMPORARY TABLE t (id INT)", ("unsupported", "", ""), None),
+    ("CREATE TABLE t LIKE u", ("create", "t", ""), ("create", "t", "")),
+    ("ALTER TABLE t ADD COLUMN a INT FIRST", ("add_column", "t", "a"), ("add_column", "t", "a")),
     ("SELECT 1", None, None),
 )
 
@@ -384,9 +393,67 @@ def log_lines(spark, sf_dir):
 
 def row_cap(spark, sf_dir):
     """The gateway's cap, on a total order."""
-    from tidemark.plans.sql_queries import run
+    from tidemark.plans.gateway import Gateway
 
-    return run(spark, sf_dir, "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey").limit(1000)
+    read(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return Gateway(spark).frame("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey", 5000)
+
+
+def _mirrored(spark, sf_dir, keys: dict):
+    """A catalog filled by the snapshot copy."""
+    from tidemark.operators.store import Catalog
+    from tidemark.sources.snapshot import ParquetSource, snapshot
+
+    catalog = Catalog(spark, scratch(spark), "mirror")
+    snapshot(catalog, ParquetSource(spark, sf_dir, "demo", keys), 4)
+    return catalog
+
+
+def snapshot_copy(spark, sf_dir):
+    """Orders, copied by ranges of their key into the versioned store."""
+    return _mirrored(spark, sf_dir, {"orders": ["o_orderkey"]}).read("demo", "orders")
+
+
+def bulk_insert(spark, sf_dir):
+    """Suppliers in two inserts; a third that repeats a key is refused and leaves the table as it is."""
+    from tidemark.operators.store import Catalog
+
+    catalog, rows = Catalog(spark, scratch(spark), "mirror"), read(spark, sf_dir, "supplier")
+    catalog.create("demo", "supplier", rows.schema, ["s_suppkey"], 4)
+    for odd in (0, 1):
+        catalog.insert("demo", "supplier", rows.where(F.col("s_suppkey") % 2 == odd))
+    try:
+        catalog.insert("demo", "supplier", rows.where("s_nationkey = 1 or s_suppkey > 0"))
+    except ValueError:
+        return catalog.read("demo", "supplier")
+    raise AssertionError("a repeated key was inserted")
+
+
+def gateway_query(spark, sf_dir):
+    """A statement over mirrored tables, by their qualified names, through the gateway to JSON rows."""
+    from tidemark.plans.gateway import Gateway
+
+    catalog = _mirrored(spark, sf_dir, {"nation": ["n_nationkey"], "region": ["r_regionkey"]})
+    text = 'SELECT r_name, count(*) AS nations FROM demo.nation JOIN demo.region ON nation.n_regionkey = region."r_regionkey" GROUP BY r_name ORDER BY r_name'
+    found = Gateway(spark, catalog).query(text)
+    return spark.createDataFrame([(r["r_name"], r["nations"]) for r in found.rows], "r_name string, nations long")
+
+
+def store_replay(spark, sf_dir):
+    """The events as a change log with a rename in it, delivered twice and once more from the start to the versioned store."""
+    from tidemark.operators.store import Catalog
+    from tidemark.streaming.changes import Applier
+
+    log = change_log(spark, sf_dir)
+    middle = log.agg(F.max("seq")).first()[0] // 2
+    rename = spark.createDataFrame([(middle * 2 + 1, "log.1", middle, "", "demo", "", "ddl", None, None, "RENAME TABLE users TO people")], log.schema)
+    doubled = log.withColumns({"seq": F.col("seq") * 2, "tbl": F.when(F.col("seq") > middle, "people").otherwise("users")}).unionByName(rename)
+    catalog = Catalog(spark, scratch(spark), "mirror")
+    catalog.create("demo", "users", _USERS, ["user_id"], 4)
+    applier = Applier(catalog, Scope(("demo",)))
+    for part in (doubled.where(F.col("seq") <= middle), doubled.where(F.col("seq") <= middle), doubled, doubled):
+        applier.run(part)
+    return catalog.read("demo", "people")
 
 
 def catalog_listing(spark, sf_dir):
@@ -399,11 +466,11 @@ def catalog_listing(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
-    """Fold the event log to live rows, then aggregate them in checked SQL."""
+    """Fold the event log to live rows, then aggregate them through the gateway."""
+    from tidemark.plans.gateway import Gateway
+
     cdc_apply_events(spark, sf_dir).createOrReplaceTempView("user_state")
-    text = "SELECT event_type, count(*) AS users, max(event_id) AS last_event FROM user_state GROUP BY event_type"
-    readonly.check(spark, text)
-    return spark.sql(text)
+    return Gateway(spark).frame("SELECT event_type, count(*) AS users, max(event_id) AS last_event FROM user_state GROUP BY event_type")
 
 
 QUERIES = {
@@ -413,6 +480,7 @@ QUERIES = {
         cdc_replay_idempotent, cdc_microbatches, cdc_apply_onto_base, cdc_insert_over_existing, cdc_pk_change_reference, cdc_pk_change_safe, cdc_update_after_image,
         cdc_upsert_lww_composite, cdc_delete_by_pk, cdc_stream_equals_batch, ddl_add_column_nulls, ddl_drop_column, ddl_rename_table, type_map_reference,
         ddl_parse_matrix, scope_filter, readonly_matrix, wallclock_timestamp, value_normalise, log_lines, row_cap, catalog_listing, flagship,
+        snapshot_copy, bulk_insert, gateway_query, store_replay,
     )
 }
 
@@ -455,5 +523,9 @@ ORACLE = {
         [("nation", i, c, i == 0) for i, c in enumerate(("n_nationkey", "n_name", "n_regionkey"))] + [("region", i, c, i == 0) for i, c in enumerate(("r_regionkey", "r_name"))],
         "tbl, place, col, in_key",
     ),
+    "snapshot_copy": "SELECT * FROM orders",
+    "bulk_insert": "SELECT * FROM supplier",
+    "gateway_query": "SELECT r_name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name",
+    "store_replay": _LIVE,
     "flagship": f"SELECT event_type, count(*) AS users, max(event_id) AS last_event FROM ({_LIVE}) GROUP BY event_type",
 }

@@ -25,12 +25,12 @@ SQL: dict[str, tuple[str, str | None]] = {
     "sql_join_right": (
         "SELECT n_nationkey, count(c_custkey) AS customers FROM customer RIGHT JOIN nation ON c_nationkey = n_nationkey AND c_acctbal > 9000 GROUP BY n_nationkey", None),
     "sql_join_full": (
-        """SELECT a.k AS left_key, b.k AS right_key FROM (SELECT o_custkey AS k FROM orders WHERE o_orderkey < 300 GROUP BY o_custkey) a
-           FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey < 100) b ON a.k = b.k""", None),
+        """SELECT a.k AS left_key, b.k AS right_key FROM (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' GROUP BY o_custkey) a
+           FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING') b ON a.k = b.k""", None),
     "sql_join_semi": (
         "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')", None),
     "sql_join_anti": (
-        "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)", None),
+        "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_totalprice > 200000)", None),
     "sql_join_cross": (
         "SELECT a.r_name AS a_name, b.r_name AS b_name FROM region a CROSS JOIN region b", None),
     "sql_join_theta": (
@@ -80,7 +80,28 @@ SQL: dict[str, tuple[str, str | None]] = {
     "sql_union": ("SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier", None),
     "sql_union_all": ("SELECT k, count(*) AS n FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier) x GROUP BY k", None),
     "sql_intersect": ("SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 5000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal < 0", None),
-    "sql_except": ("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders", None),
+    "sql_except": ("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000", None),
+    "sql_intersect_all": ("SELECT o_orderstatus AS k FROM orders WHERE o_totalprice > 100000 INTERSECT ALL SELECT o_orderstatus FROM orders WHERE o_totalprice < 150000", None),
+    "sql_union_by_name": (
+        "SELECT c_custkey AS k, c_nationkey AS nation FROM customer UNION ALL SELECT * FROM (SELECT k, nation FROM (SELECT s_nationkey AS nation, s_suppkey AS k FROM supplier) y) z",
+        "SELECT c_custkey AS k, c_nationkey AS nation FROM customer UNION ALL BY NAME SELECT s_nationkey AS nation, s_suppkey AS k FROM supplier"),
+    "sql_approx_distinct": (
+        """SELECT o_orderpriority, abs(approx_count_distinct(o_custkey, 0.01) - count(DISTINCT o_custkey)) <= 0.05 * count(DISTINCT o_custkey) AS near FROM orders GROUP BY o_orderpriority""",
+        "SELECT DISTINCT o_orderpriority, true AS near FROM orders"),
+    "sql_percentiles": (
+        """SELECT l_returnflag, percentile(l_extendedprice, 0.25) AS exact_quarter, percentile_approx(l_quantity, 0.5, 100000) BETWEEN 1 AND 50 AS inside FROM lineitem GROUP BY l_returnflag""",
+        "SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS exact_quarter, true AS inside FROM lineitem GROUP BY l_returnflag"),
+    "sql_struct_map": (
+        """SELECT event_type, m['last'] AS last_id, s.user_id AS last_user, CAST(size(map_keys(m)) AS BIGINT) AS n FROM (
+             SELECT event_type, map('first', min(event_id), 'last', max(event_id)) AS m, max(struct(event_id, user_id)) AS s FROM events GROUP BY event_type) x""",
+        """SELECT event_type, m['last'] AS last_id, s.user_id AS last_user, CAST(len(map_keys(m)) AS BIGINT) AS n FROM (
+             SELECT event_type, MAP {'first': min(event_id), 'last': max(event_id)} AS m, max({'event_id': event_id, 'user_id': user_id}) AS s FROM events GROUP BY event_type) x"""),
+    "sql_from_json": (
+        """SELECT event_id, from_json(props, 'k BIGINT').k AS k, to_json(named_struct('id', event_id, 'kind', event_type)) AS j FROM events""",
+        """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(to_json({'id': event_id, 'kind': event_type}) AS VARCHAR) AS j FROM events"""),
+    "sql_grouping_id": (
+        """SELECT n_regionkey, n_nationkey, CAST(grouping_id(n_regionkey, n_nationkey) AS BIGINT) AS level, count(*) AS n FROM nation GROUP BY ROLLUP (n_regionkey, n_nationkey)""",
+        """SELECT n_regionkey, n_nationkey, CAST(grouping_id(n_regionkey, n_nationkey) AS BIGINT) AS level, count(*) AS n FROM nation GROUP BY ROLLUP (n_regionkey, n_nationkey)"""),
     "sql_except_all": ("SELECT o_orderstatus AS k FROM orders EXCEPT ALL SELECT o_orderstatus FROM orders WHERE o_orderkey > 10", None),
     "sql_cte": (
         """WITH big AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey), best AS (SELECT max(n) AS n FROM big)
