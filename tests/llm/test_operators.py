@@ -167,6 +167,17 @@ def test_jaccard_join(docs, rows, n, percent):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found) == expected
 
 
+def test_jaccard_join_ids_with_several_texts(spark):
+    """One id on two texts, each near another one; ids that are text; and a pair exactly at the threshold."""
+    words = [[f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]]
+    rows = [("u-1", words[0]), ("u-1", words[1]), ("u-2", words[0] + ["x"]), ("u-3", words[1] + ["y"]), (None, words[1] + ["z"])]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id string, text string")
+    found = sorted((str(r.doc_id), r.component_id, r.n_links) for r in jaccard_join.near_duplicates(frame).collect())
+    assert found == [("None", "u-1", 2), ("u-1", "u-1", 1), ("u-1", "u-1", 2), ("u-2", "u-1", 1), ("u-3", "u-1", 2)]
+    assert {(r.doc_id, r.text[:1]) for r in jaccard_join.keep_one(frame, n=3, percent=90).collect()} == {("u-1", "a"), ("u-1", "b"), (None, "b")}
+    assert jaccard_join.Rule(3, 90).linked(np.array([176787, 176786]), np.array([373217, 373217])).tolist() == [True, False]
+
+
 def test_jaccard_blocks(spark, monkeypatch):
     """A cluster over many blocks, and fragments of few columns, give the same as one block."""
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 3)
@@ -237,10 +248,9 @@ def test_line_dedup_long_lines(spark):
     assert found == {"a": ([], f"{line}\nmore a", 1), "b": ([1], "head b\nmore b", 1), "c": ([], f"{line} x", 0), "d": ([], line[:-4], 0)}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_line_dedup_run_lengths(spark, seed):
+def test_line_dedup_run_lengths(spark):
     """The longest common prefix of every suffix with any other, in texts of few different lines."""
-    rng = random.Random(seed)
+    rng = random.Random(2)
     texts = [[rng.choice("abc") for _ in range(rng.randint(0, 14))] for _ in range(8)]
     texts += [texts[0] + texts[1] + ["z"] + texts[2], texts[3][2:] + texts[1], [f"u{i}" for i in range(40)], ["q"] + [f"u{i}" for i in range(37)]]
     frame = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
@@ -463,6 +473,61 @@ def test_substring_dedup_finds_dense_edits(spark):
     assert all(50 <= r.length <= 62 for r in found)
 
 
+def test_substring_dedup_members_and_text_ids(spark):
+    """Copies are members of the text with the least id; ids may be text, and one id may have two texts."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    a, passage, short = text(70), text(55), text(30)
+    rows = [("k1", a), ("k2", a), ("k3", a), ("k2", passage + " " + text(9)), ("k5", text(9) + " " + passage), ("k6", short), ("k7", short), (None, a), ("k8", None)]
+    found = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {(r.doc_id, r.start, r.length, r.other_id) for r in found} == {("k1", 0, 70, "k3"), ("k2", 0, 70, "k1"), ("k3", 0, 70, "k1"), ("k2", 0, 55, "k5"), ("k5", 9, 55, "k2")}
+
+
+def test_substring_dedup_recall(spark):
+    """Passages of 60 words with words replaced at random, 5 and 10 % of them: what is similar enough is found."""
+    rng = random.Random(10)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    for share, least in ((0.05, 0.98), (0.1, 0.9)):
+        rows, wanted = [], set()
+        for i in range(100):
+            passage = text(60)
+            edited = [w if rng.random() >= share else f"e{i}x{k}" for k, w in enumerate(passage)]
+            rows += [(2 * i, " ".join(text(30) + passage + text(9))), (2 * i + 1, " ".join(text(5) + edited + text(50)))]
+            if sum(a == b for a, b in zip(passage, edited, strict=True)) >= 50:
+                wanted.add(2 * i)
+        found = {r.doc_id for r in substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() if abs(r.other_id - r.doc_id) == 1}
+        assert len(wanted & found) >= least * len(wanted), (share, len(wanted), len(wanted & found))
+
+
+def test_operators_take_text_ids_and_odd_columns(spark, tokenizer_path):
+    """Ids that are text, white-space texts, and columns named like those that operators make."""
+    rows = [("a", "one two three four five", 1, 2), ("b", " \t\n", 1, 2), ("c", None, 1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, `__bad` int, id int")
+    marks = spark.createDataFrame([("a", 1, 1), ("b", 0, 0)], "doc_id string, quality int, toxic int")
+    bench = spark.createDataFrame([("i", "one two three four five")], "item_id string, text string")
+    from pyspark.sql import functions as F
+
+    assert {r.doc_id for r in toxicity.score(frame, marks).collect()} == {"a", "b", "c"}
+    assert {r.doc_id: r.tail_probability for r in quality_classifier.rate(frame, marks, F.col("quality")).collect()}["b"] == 0
+    assert [(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, bench).collect()] == [("a", "i")]
+    kept = decontamination.drop_contaminated(frame, bench)
+    assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == {"b", "c"}
+    assert {r.doc_id for r in packing.pack(frame, "doc_id", "text", tokenizer_path).collect()} == {"a", "b", "c"}
+    assert line_dedup.drop_repeated(frame).columns == frame.columns
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    from tidemark.llm.shared import cut, scratch, shared_dir, stage
+
+    frame = spark.range(5)
+    with scratch(spark):
+        one, two = cut(frame), stage(frame)
+        files = [two.inputFiles()[0], one._jdf.queryExecution().logical().rdd().getCheckpointFile().get()]
+        assert one.count() == two.count() == 5 and shared_dir(spark)
+    gone = lambda f: not (lambda p: p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))(spark._jvm.org.apache.hadoop.fs.Path(f))
+    assert all(map(gone, files))
+
+
 @pytest.mark.parametrize(("module", "one", "other"), [(quality_classifier, "abcabdab", "abdabcab"), (toxicity, "abefcabefdabef", "abefdabefcabef")])
 def test_longest_ngrams_tell_words_apart(module, one, other):
     """The shorter n-grams of both words are the same."""

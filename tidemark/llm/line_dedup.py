@@ -112,10 +112,11 @@ def run_lengths(active: DataFrame) -> DataFrame:
             parts = rows.where("next is not null").groupBy("interval", "had", "next").agg(F.count(F.lit(1)).alias("n"))
             parts = cut(parts)
             known = split_join(rows.where("next is not null"), parts, ["interval", "had", "next"], "n")
-            known = cut(known.unionByName(rows.where("next is null").withColumn("n", F.lit(1).cast("long"))))
-            moved = known.where("n > 1").select(*place, F.xxhash64("interval", "had", "next").alias("interval"), (F.col("had") + (1 << k)).alias("had"), "open")
-            left = known.select(*place, "interval", "had", (F.col("open") & (F.col("n") < 2)).alias("open"))
-            going = _wanted(moved.unionByName(left))
+            known = known.unionByName(rows.where("next is null").withColumn("n", F.lit(1).cast("long")))
+            moved = F.struct(F.xxhash64("interval", "had", "next").alias("interval"), (F.col("had") + (1 << k)).alias("had"), "open")
+            left = F.struct("interval", "had", (F.col("open") & (F.col("n") < 2)).alias("open"))
+            both = F.when(F.col("n") > 1, F.array(moved, left)).otherwise(F.array(left))
+            going = _wanted(known.select(*place, F.explode(both).alias("x")).select(*place, "x.*"))
         last = levels[k].join(levels[k + 1], place, "left_anti") if k + 1 < len(levels) else levels[k]
         if k == 0:
             done.append(last.select(*place, F.lit(1).alias("run")))
@@ -123,7 +124,7 @@ def run_lengths(active: DataFrame) -> DataFrame:
             ends = last.select(*place, F.lit(True).alias("open"))
             members = levels[k].join(ends, place, "left").select(*place, F.xxhash64(F.lit(k), "r").alias("interval"), F.lit(1 << k).alias("had"), F.coalesce("open", F.lit(False)).alias("open"))
             members = _wanted(members)
-            going = members if going is None else cut(going.unionByName(members))
+            going = members if going is None else going.unionByName(members)
     if going is not None:
         done.append(going.where("open").select(*place, F.col("had").alias("run")))
     out = done[0]
@@ -136,7 +137,7 @@ def _wanted(rows: DataFrame) -> DataFrame:
     """The rows of intervals in which some row is still open."""
     rows = cut(rows)
     open_ones = cut(rows.groupBy("interval", "had").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n")).where("some").drop("some"))
-    return cut(split_join(rows, open_ones, ["interval", "had"], "n").drop("n"))
+    return split_join(rows, open_ones, ["interval", "had"], "n").drop("n")
 
 
 def _later(windows: DataFrame) -> DataFrame:

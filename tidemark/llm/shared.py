@@ -110,11 +110,11 @@ def split_join(rows: DataFrame, table: DataFrame, on: list[str] | str, weight: s
     frames are read twice and should be written ones.
     """
     on = [on] if isinstance(on, str) else on
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    limit = max(HOT_ROWS, total // HOT_SHARE)
-    hot = table.where(F.col(weight) > limit)
-    if hot.isEmpty():
+    total, most = table.agg(F.sum(weight), F.max(weight)).first()
+    limit = max(HOT_ROWS, (total or 0) // HOT_SHARE)
+    if (most or 0) <= limit:
         return rows.join(table, on, how)
+    hot = table.where(F.col(weight) > limit)
     often = F.broadcast(hot)
     rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
     return rows.join(often, on).unionByName(rest.join(table.where(F.col(weight) <= limit), on, how))
