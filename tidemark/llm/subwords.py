@@ -28,7 +28,7 @@ def ngrams(vocabulary: list[str], sizes: tuple[int, ...], bits: int, marks: bool
     symbols = np.zeros(len(points) + 2, np.uint64)
     symbols[1:-1] = np.where(inner, points, 0)
     solid = symbols != 0
-    buckets, owners = [], []
+    buckets, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n in sizes:
         count = len(symbols) - n + 1
         if count <= 0:
