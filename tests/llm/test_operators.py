@@ -251,8 +251,8 @@ def test_line_dedup_long_lines(spark):
 def test_line_dedup_run_lengths(spark):
     """The longest common prefix of every suffix with any other, in texts of few different lines."""
     rng = random.Random(2)
-    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 14))] for _ in range(8)]
-    texts += [texts[0] + texts[1] + ["z"] + texts[2], texts[3][2:] + texts[1], [f"u{i}" for i in range(40)], ["q"] + [f"u{i}" for i in range(37)]]
+    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 8))] for _ in range(7)]
+    texts += [texts[0][:7] + ["z"] + texts[2][:3], texts[3][2:7], [f"u{i}" for i in range(9)], ["q"] + [f"u{i}" for i in range(7)]]
     frame = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     spots = [(d, i) for d, t in enumerate(texts) for i in range(len(t))]
 
