@@ -54,9 +54,20 @@ def _note(path: str | None) -> None:
         made.append(path)
 
 
+#: Digits (binary) of the size that Spark expects of a frame, from which a checkpoint would hand them on to a loop's next step.
+MOST_SIZE_BITS = 512
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write a narrow frame to the shared folder once; later reads survive lost executors."""
+    """Write a narrow frame to the shared folder once; later reads survive lost executors.
+
+    A checkpoint keeps the size that Spark expected of its plan, and that of a join is the
+    product of its sides.  In a loop its digits double at every join, until the driver's heap
+    is full; such frames become Parquet tables, whose size is that of their files.
+    """
     shared_dir(df.sparkSession)
+    if plan_bytes(df).bit_length() > MOST_SIZE_BITS:
+        return stage(df)
     out = df.checkpoint(eager=True)
     if _made.get() is not None:
         file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
