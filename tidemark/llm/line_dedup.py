@@ -25,10 +25,12 @@ texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import SPACE, SPACE_CLASS, col, cut, fresh, ranked, split_join, stage
+from tidemark.llm.shared import SPACE, SPACE_CLASS, col, cut, few_tasks, fresh, ranked, split_join, stage
 
 MIN_LINES = 2
 #: A single line of so many words is a run.
@@ -66,14 +68,14 @@ def repeated_lines(lines: DataFrame) -> DataFrame:
     return cut(found.dropDuplicates(["id", "print", "idx"]))
 
 
-def longer(active: DataFrame, length: int, step: int) -> DataFrame:
-    """Of suffixes ranked by their first ``length`` lines those whose first ``length + step`` lines are repeated, with the rank of these."""
+def longer(active: DataFrame, length: int, step: int, rows: int | None = None) -> DataFrame:
+    """Of suffixes ranked by their first ``length`` lines those whose first ``length + step`` lines are repeated, with the rank of these; ``rows``: how many suffixes there are, if known."""
     ahead = active.select("id", "print", (F.col("idx") - step).alias("idx"), F.col("lines").alias("more"), F.col("r").alias("r2"))
-    pairs = cut(active.join(ahead, ["id", "print", "idx"]))
+    pairs = cut(few_tasks(active.join(ahead, ["id", "print", "idx"]), rows))
     names = pairs.groupBy("r", "r2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranks = cut(ranked(names, ["r", "r2"], "rank"))
+    ranks = ranked(names, ["r", "r2"], "rank")  # written once; what is read twice is a join with one row a partition
     both = F.concat("lines", F.slice("more", length - step + 1, step))
-    return cut(split_join(pairs, ranks, ["r", "r2"], "n").select("id", "print", "idx", both.alias("lines"), F.col("rank").alias("r")))
+    return cut(few_tasks(split_join(pairs, ranks, ["r", "r2"], "n").select("id", "print", "idx", both.alias("lines"), F.col("rank").alias("r")), rows))
 
 
 def repeated_windows(active: DataFrame, min_lines: int) -> DataFrame:
@@ -97,47 +99,49 @@ def run_lengths(active: DataFrame) -> DataFrame:
     go on behind it; where one is alone its interval also stays as it is, for the lower levels.
     """
     place = ["id", "print", "idx"]
-    levels = [active.select(*place, "r")]
-    while not levels[-1].isEmpty():
+    levels, sizes = [active.select(*place, "r")], [active.count()]
+    while sizes[-1]:
         length = 1 << (len(levels) - 1)
         one = levels[-1].withColumn("lines", F.array().cast("array<int>"))
-        levels.append(longer(one, length, length).select(*place, "r"))
-    levels.pop()
+        levels.append(longer(one, length, length, sizes[-1]).select(*place, "r"))
+        sizes.append(levels[-1].count())
     done: list[DataFrame] = []
     going: DataFrame | None = None  # (id, print, idx, interval, had, open): ``open`` rows still look for their length
-    for k in range(len(levels) - 1, -1, -1):
+    held = 0  # rows of ``going``
+    for k in range(len(levels) - 2, -1, -1):
         if going is not None:
             ahead = levels[k].select("id", "print", F.col("idx").alias("at"), F.col("r").alias("next"))
-            rows = cut(going.withColumn("at", F.col("idx") + F.col("had")).join(ahead, ["id", "print", "at"], "left").drop("at"))
+            rows = cut(few_tasks(going.withColumn("at", F.col("idx") + F.col("had")).join(ahead, ["id", "print", "at"], "left").drop("at"), held))
             parts = rows.where("next is not null").groupBy("interval", "had", "next").agg(F.count(F.lit(1)).alias("n"))
-            parts = cut(parts)
+            parts = cut(few_tasks(parts, held))
             known = split_join(rows.where("next is not null"), parts, ["interval", "had", "next"], "n")
             known = known.unionByName(rows.where("next is null").withColumn("n", F.lit(1).cast("long")))
             moved = F.struct(F.xxhash64("interval", "had", "next").alias("interval"), (F.col("had") + (1 << k)).alias("had"), "open")
             left = F.struct("interval", "had", (F.col("open") & (F.col("n") < 2)).alias("open"))
             both = F.when(F.col("n") > 1, F.array(moved, left)).otherwise(F.array(left))
-            going = _wanted(known.select(*place, F.explode(both).alias("x")).select(*place, "x.*"))
-        last = levels[k].join(levels[k + 1], place, "left_anti") if k + 1 < len(levels) else levels[k]
+            going = few_tasks(known.select(*place, F.explode(both).alias("x")).select(*place, "x.*"), 2 * held)
+        on = levels[k + 1].select(*place, F.lit(False).alias("ends"))
         if k == 0:
-            done.append(last.select(*place, F.lit(1).alias("run")))
-        else:
-            ends = last.select(*place, F.lit(True).alias("open"))
-            members = levels[k].join(ends, place, "left").select(*place, F.xxhash64(F.lit(k), "r").alias("interval"), F.lit(1 << k).alias("had"), F.coalesce("open", F.lit(False)).alias("open"))
-            members = _wanted(members)
-            going = members if going is None else going.unionByName(members)
+            done.append(levels[0].join(on, place, "left_anti").select(*place, F.lit(1).alias("run")))
+            break
+        members = levels[k].join(on, place, "left").select(*place, F.xxhash64(F.lit(k), "r").alias("interval"), F.lit(1 << k).alias("had"), F.coalesce("ends", F.lit(True)).alias("open"))
+        members = few_tasks(members, sizes[k])
+        going, held = _wanted(members if going is None else going.unionByName(members), 2 * held + sizes[k])
     if going is not None:
         done.append(going.where("open").select(*place, F.col("had").alias("run")))
-    out = done[0]
+    out = done[0] if done else active.select(*place, F.lit(1).alias("run"))
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
-def _wanted(rows: DataFrame) -> DataFrame:
-    """The rows of intervals in which some row is still open."""
+def _wanted(rows: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """The rows of intervals in which some row is still open, and how many they are; ``most``: at most so many rows come in."""
     rows = cut(rows)
-    open_ones = cut(rows.groupBy("interval", "had").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n")).where("some").drop("some"))
-    return split_join(rows, open_ones, ["interval", "had"], "n").drop("n")
+    open_ones = rows.groupBy("interval", "had").agg(F.max("open").alias("some"), F.count(F.lit(1)).alias("n")).where("some").drop("some")
+    open_ones = cut(few_tasks(open_ones, most))
+    held = open_ones.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return split_join(rows, open_ones, ["interval", "had"], "n").drop("n"), held
 
 
 def _later(windows: DataFrame) -> DataFrame:
@@ -176,14 +180,19 @@ def with_kept_text(docs: DataFrame, id_col: str, text_col: str, min_lines: int,
     return joined.select(*[col(c) for c in docs.columns], text.alias(kept), F.coalesce(F.col(gone), F.array().cast("array<int>")).alias(gone))
 
 
-def runs_of_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """One row per text: id, n_removed, removed_lines, kept (the text that stays) and longest_run (lines that also occur elsewhere, 0 if none)."""
+def runs_of_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, of_kept: Callable[[Column], Column] | None = None) -> DataFrame:
+    """One row per text: id, n_removed, removed_lines, kept (the text that stays) and longest_run (lines that also occur elsewhere, 0 if none).
+
+    ``of_kept``: what to give of the text that stays, as a digest; texts are then not shuffled to join the runs.
+    """
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     active = repeated_lines(stage(line_ids(texts, "id", "text")))
     runs = cut(run_lengths(active).groupBy("id", "print").agg(F.max("run").alias("run")))
     found = with_kept_text(texts, "id", "text", min_lines, "kept", "gone", active)
+    kept = F.col("kept") if of_kept is None else of_kept(F.col("kept"))
+    found = found.select("id", _print("text").alias("print"), kept.alias("kept"), "gone")
     names = runs.select(F.col("id").alias("by_id"), F.col("print").alias("by_print"), "run")
-    found = found.join(names, _id("id").eqNullSafe(F.col("by_id")) & (_print("text") == F.col("by_print")), "left")
+    found = found.join(names, _id("id").eqNullSafe(F.col("by_id")) & (F.col("print") == F.col("by_print")), "left")
     return found.select(
         F.col("id").alias(id_col), F.size("gone").cast("long").alias("n_removed"), F.col("gone").alias("removed_lines"), "kept", F.coalesce("run", F.lit(0)).cast("long").alias("longest_run")
     )

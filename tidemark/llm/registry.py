@@ -42,8 +42,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: how many lines go, which, the digest of the text that stays, and its longest repeated run."""
-    found = line_dedup.runs_of_texts(documents(spark, sf_dir))
-    return found.select("doc_id", "n_removed", F.array_join("removed_lines", ",").alias("removed_lines"), F.md5("kept").alias("kept_md5"), "longest_run")
+    found = line_dedup.runs_of_texts(documents(spark, sf_dir), of_kept=F.md5)
+    return found.select("doc_id", "n_removed", F.array_join("removed_lines", ",").alias("removed_lines"), F.col("kept").alias("kept_md5"), "longest_run")
 
 
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,15 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that one task takes at least.
+TASK_ROWS = 50_000
+
+
+def few_tasks(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df``, of at most ``rows`` narrow rows, in tasks of TASK_ROWS rows or more: a small step of a loop writes few files."""
+    return df if rows is None else df.coalesce(rows // TASK_ROWS + 1)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Bytes that Spark expects of a frame; of a staged table those of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
