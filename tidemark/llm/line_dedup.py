@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import SPACE, SPACE_CLASS, col, cut, few_tasks, fresh, ranked, split_join, stage
+from tidemark.llm.shared import SPACE, SPACE_CLASS, WORD_CLASS, col, cut, few_tasks, fresh, ranked, split_join, stage
 
 MIN_LINES = 2
 #: A single line of so many words is a run.
@@ -51,14 +51,13 @@ def _print(name: str) -> Column:
 
 def line_ids(docs: DataFrame, id_col: str, text_col: str, long_words: int = LONG_WORDS) -> DataFrame:
     """Rows (id, print, idx, line, r, long): the idx-th line with a word is line number ``line`` and has the id ``r``; ``long``: it has ``long_words`` words."""
-    bare = lambda x: F.btrim(x, F.lit(SPACE))
-    words = lambda x: F.size(F.split(bare(x), SPACE_CLASS + "+"))
-    # A line of n words has 2 n - 1 characters at least, so short ones are not split.
-    long = lambda x: (F.char_length(x) >= 2 * long_words - 1) & (words(x) >= long_words)
-    one = lambda x, i: F.when(bare(x) != "", F.struct(i.alias("line"), F.xxhash64(bare(x)).alias("r"), long(x).alias("long")))
-    lines = F.transform(F.split(F.coalesce(col(text_col), F.lit("")), "\n"), one)
-    found = docs.select(_id(id_col).alias("id"), _print(text_col).alias("print"), F.posexplode(F.filter(lines, lambda x: x.isNotNull())).alias("idx", "x"))
-    return found.select("id", "print", "idx", "x.line", "x.r", "x.long")
+    line = lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(SPACE)).alias("bare"))
+    lines = F.filter(F.transform(F.split(F.coalesce(col(text_col), F.lit("")), "\n"), line), lambda x: x["bare"] != "")
+    found = docs.select(_id(id_col).alias("id"), _print(text_col).alias("print"), F.posexplode(lines).alias("idx", "x"))
+    # A line of n words has 2 n - 1 characters at least, so short ones are not matched; no words are cut out to count them.
+    many = f"^(?:{WORD_CLASS}++{SPACE_CLASS}++){{{long_words - 1}}}{WORD_CLASS}"
+    long = (F.char_length("x.bare") >= 2 * long_words - 1) & F.col("x.bare").rlike(many)
+    return found.select("id", "print", "idx", "x.line", F.xxhash64("x.bare").alias("r"), long.alias("long"))
 
 
 def repeated_lines(lines: DataFrame) -> DataFrame:

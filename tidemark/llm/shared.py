@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: ASCII white space as the contracts define it: space, tab, LF, VT, FF, CR.
 SPACE = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
