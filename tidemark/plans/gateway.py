@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.values import to_json
 from tidemark.plans import readonly
+from tidemark.plans.lateral import ordered_first
 
 MAX_ROWS = 1000
 TIMEOUT_S = 30.0
@@ -109,7 +110,7 @@ class Gateway:
             if self.catalog is not None and _SHOW_SCHEMAS.fullmatch(text):
                 schemas = sorted({s for s, _ in known})
                 return self.spark.createDataFrame([(s,) for s in schemas], "namespace string").limit(self.limit(limit))
-            return self.spark.sql(unqualified(text, known)).limit(self.limit(limit))
+            return ordered_first(self.spark.sql(unqualified(text, known))).limit(self.limit(limit))
 
     def query(self, sql: str, limit: int | None = None) -> Result:
         """Run one statement; TimeoutError when it takes too long.  Of columns of one name the last counts."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import readonly
+from tidemark.plans.lateral import ordered_first
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -172,7 +173,7 @@ def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """The statement, after the gateway's check, over the tables it names."""
     readonly.check(spark, text)
     register(spark, sf_dir, [t for t in TABLES if t in text])
-    return spark.sql(text)
+    return ordered_first(spark.sql(text))
 
 
 def queries() -> dict:
