@@ -191,6 +191,41 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert [r.n_links for r in jaccard_join.near_duplicates(frame).orderBy("doc_id").collect()] == links
 
 
+def test_jaccard_sends_no_texts(spark, monkeypatch):
+    """Neither the many candidates nor what is kept is joined by a shuffle of texts; halves of signatures in common lose nothing."""
+    from tidemark.llm import shared
+
+    rng = random.Random(5)
+    base = [[f"w{k}-{i}" for i in range(60)] for k in range(30)]
+    texts = [" ".join(w if rng.random() > 0.01 else f"e{rng.random()}" for w in base[i % 30]) for i in range(90)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = sorted(r.doc_id for r in jaccard_join.keep_one(frame).collect())
+    links = [tuple(r) for r in jaccard_join.near_duplicates(frame, n=3, percent=80).orderBy("doc_id").collect()]
+    for name, value in (("BROADCAST_SETS", 0), ("SHORT", np.uint64(3)), ("KEY_BYTES", 1), ("BUCKET_KEYS", 5)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    monkeypatch.setattr(jaccard_join, "LEAST_BUCKETS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.keep_one(frame)
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == expected
+        assert [tuple(r) for r in jaccard_join.near_duplicates(frame, n=3, percent=80).orderBy("doc_id").collect()] == links
+        monkeypatch.setattr(shared, "AMONG_ROWS", 0)
+        assert sorted(r.doc_id for r in jaccard_join.keep_one(frame).collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jaccard_packed_keys():
+    """A chunk's keys cost half of two longs each, and come back with their owners."""
+    rng = np.random.default_rng(1)
+    keys, ids = rng.integers(0, 1 << 63, 50_000, np.uint64), np.sort(rng.integers(0, 1 << 62, 50_000))
+    ids[1], keys[0] = ids[0], keys[49_999]
+    batch = jaccard_join._sent([keys], [ids], 8)
+    assert sum(batch.column(c).get_total_buffer_size() for c in ("keys", "owners")) < 10 * 50_100
+    assert jaccard_join._bucket_edges(pa.Table.from_batches([batch])).num_rows >= 1
+
+
 def test_jaccard_keep_one(docs, empty):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns

@@ -26,15 +26,19 @@ fragment.  The partial counts, one matrix a group, are then summed per pair of s
 links, as a forest, and the number of links per set leave that step, so a cluster of
 thousands of near copies does not turn into a row per pair.
 
-Each partition gives a key once, so a key that a third of all texts share arrives as one row
-per partition.
+Each chunk of a partition gives a key once, so a key that a third of all texts share arrives as
+one entry per chunk.  Keys are sent by bucket, packed, without the bits that the bucket says,
+and with 32 bits of the signature; a key or signature taken for another one only adds a
+candidate, which counting drops, and sets that have those 32 bits in common are candidates of
+each other, so nothing is lost by it.  Texts are never shuffled as long as the hashes of those
+picked are at most ``shared.AMONG_ROWS``.
 
 Edge cases: null and empty texts have an empty set and link with nothing; ids may be of any
 type that Spark can order and stand on several different texts; null ids keep their row,
 their component is the least id of the others; repeated rows stay as rows; very long texts
 are blocks of their own, cut into fragments; an empty table gives no rows; other columns are
-not read.  Equality of 64-bit hashes stands for equality of n-grams, that of 64-bit
-signatures for equality of sets.
+not read.  Equality of 64-bit hashes stands for equality of n-grams, and of ids with
+their texts, that of 64-bit signatures for equality of sets.
 """
 
 from __future__ import annotations
@@ -50,7 +54,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import bounded_batches, col, cut, fresh, small_enough, split_join
+from tidemark.llm.shared import among, bounded_batches, col, cut, fresh, small_enough, split_join
 from tidemark.llm.words import chained, hashed, mix, slices
 
 BLOCK_SETS = 512
@@ -59,6 +63,11 @@ BLOCK_TOKENS = 400_000
 BROADCAST_SETS = 1_000_000
 #: Keys gathered in a worker before they are reduced and sent.
 HELD_KEYS = 1_000_000
+#: Keys that one bucket gets, and the fewest buckets.
+BUCKET_KEYS = 400_000
+LEAST_BUCKETS = 256
+#: Bytes of a key that are sent.
+KEY_BYTES = 5
 #: n-grams whose counts are kept and broadcast, 16 bytes each; others count as rare.
 HOT_GRAMS = 200_000
 #: n-grams in fewer sets of a partition are not counted.
@@ -139,7 +148,7 @@ class Rule:
         return low * 100 < high * self.percent
 
 
-def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Each key once with its least set, and a key of its own for every set found to share one."""
     key, own = np.concatenate(keys), np.concatenate(ids)
     order = np.lexsort((own, key))
@@ -148,8 +157,54 @@ def _reduced(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
     least = own[np.flatnonzero(first)][np.cumsum(first) - 1]
     pairs = np.unique(np.stack([least[own != least], own[own != least]]), axis=1)
     pair = mix(mix(pairs[0].view(np.uint64)) + pairs[1].view(np.uint64))
-    out_key, out_id = np.concatenate([key[first], pair, pair]), np.concatenate([own[first], pairs[0], pairs[1]])
-    return pa.RecordBatch.from_arrays([pa.array(out_key.view(np.int64)), pa.array(out_id)], ["key", "s"])
+    return np.concatenate([key[first], pair, pair]), np.concatenate([own[first], pairs[0], pairs[1]])
+
+
+def _planes(numbers: np.ndarray, size: int) -> bytes:
+    """The ``size`` lower bytes of 64-bit numbers, byte plane by byte plane, so that shuffles compress them."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def _unplaned(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8).reshape(size, -1).T
+    return out.view("<u8").ravel()
+
+
+SENT = "bucket int, keys binary, owners binary"
+SHORT = np.uint64((1 << 32) - 1)
+
+
+def _sent(keys: list[np.ndarray], ids: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """The reduced keys of a chunk as rows of SENT, owners by the lower half of their signature."""
+    key, own = _reduced(keys, ids)
+    own = own.view(np.uint64) & SHORT
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort((bucket << np.uint64(32)) | own)
+    key, own, bucket = key[order], own[order], bucket[order]
+    starts = np.flatnonzero(np.append(True, np.diff(bucket) != 0)) if len(bucket) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(bucket))
+    steps = lambda x: np.diff(x.astype(np.int64), prepend=0)
+    columns = [
+        pa.array(bucket[starts].astype(np.int32)),
+        pa.array([_planes(key[a:b], KEY_BYTES) for a, b in zip(starts, ends, strict=True)], pa.binary()),
+        pa.array([_planes(steps(own[a:b]), 4) for a, b in zip(starts, ends, strict=True)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "keys", "owners"])
+
+
+def _bucket_edges(table: pa.Table) -> pa.Table:
+    """Rows (a, b): of one bucket, halves of signatures that share a key, and the least half that has it."""
+    rows = table.to_pylist()
+    key = np.concatenate([np.zeros(0, np.uint64), *(_unplaned(r["keys"], KEY_BYTES) for r in rows)])
+    own = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(_unplaned(r["owners"], 4)) for r in rows)]).astype(np.int64)
+    order = np.lexsort((own, key))
+    key, own = key[order], own[order]
+    first = np.append(True, key[1:] != key[:-1])[: len(key)]
+    least = own[np.flatnonzero(first)][np.cumsum(first) - 1]
+    some = own != least
+    pairs = np.unique(np.stack([own[some], least[some]]), axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
 
 
 def _frequent(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,12 +213,14 @@ def _frequent(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return gram[times >= LEAST_SETS].view(np.int64), times[times >= LEAST_SETS]
 
 
-def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame) -> DataFrame:
-    """Rows (s, hub): a set and the first one with which it shares a key."""
+def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (s, hub): a set and one with which it shares a key; sets linked so are all those that share keys with each other."""
     rows = hot.groupBy("gram").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "gram").limit(HOT_GRAMS).toArrow()
     gram, times = rows.column("gram").to_numpy().view(np.uint64), rows.column("times").to_numpy()
     order = np.argsort(gram)
     table = narrow.sparkSession.sparkContext.broadcast((gram[order], times[order]))
+    grams = classes.agg(F.sum("n")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, grams * 6 * (100 - rule.percent) // (100 + rule.percent) // BUCKET_KEYS)  # at most about six keys for each n-gram that may differ
 
     def commonness(own: np.ndarray) -> np.ndarray:
         gram, times = table.value
@@ -185,14 +242,18 @@ def _candidate_edges(narrow: DataFrame, rule: Rule, hot: DataFrame) -> DataFrame
                     owners.append(np.full(len(k), mark, np.int64))
                     held += len(k)
             if held >= HELD_KEYS:
-                yield _reduced(keys, owners)
+                yield _sent(keys, owners, buckets)
                 keys, owners, held, seen = [], [], 0, {0}
         if held:
-            yield _reduced(keys, owners)
+            yield _sent(keys, owners, buckets)
 
-    keys = narrow.mapInArrow(keyed, "key long, s long")
-    hub = F.min("s").over(Window.partitionBy("key"))
-    return keys.select("s", hub.alias("hub")).where("s <> hub").distinct()
+    edges = cut(narrow.mapInArrow(keyed, SENT).groupBy("bucket").applyInArrow(_bucket_edges, "a long, b long").distinct())
+    half = F.col("s").bitwiseAND(int(SHORT))
+    named = cut(classes.groupBy(half.alias("half")).agg(F.min("s").alias("hub"), F.count(F.lit(1)).alias("sets")))
+    of = lambda end, name: named.select(F.col("half").alias(end), F.col("hub").alias(name))
+    shared = edges.join(of("a", "s"), "a").join(of("b", "hub"), "b").select("s", "hub")
+    twins = classes.select("s", half.alias("half")).join(named.where("sets > 1"), "half").where("s <> hub").select("s", "hub")
+    return shared.union(twins)
 
 
 def _overlaps(flat: np.ndarray, row: np.ndarray, rows: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -343,12 +404,16 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
     some = texts.where("n > 0")
     classes = cut(some.groupBy("s").agg(F.max("n").alias("n"), F.min("id").alias("least"), F.min("print").alias("print"), F.count(F.lit(1)).alias("weight")))
 
-    clusters = components(cut(_candidate_edges(narrow, rule, hot)).select(F.col("s").alias("a"), F.col("hub").alias("b")))
+    clusters = components(cut(_candidate_edges(narrow, rule, hot, classes)).select(F.col("s").alias("a"), F.col("hub").alias("b")))
     members = cut(clusters.withColumnRenamed("id", "s").join(classes.select("s", "n", "weight", "print"), "s"))
     compared = cut(_blocks(members.drop("print"), rule))
     wanted = members.select("print")
     if small_enough(wanted, BROADCAST_SETS):
-        wanted = F.broadcast(wanted)
+        candidates = narrow.join(F.broadcast(wanted), "print", "left_semi")
+    elif (picked := among(F.col("print"), wanted)) is not None:
+        candidates = narrow.where(picked)
+    else:
+        candidates = narrow.join(wanted, "print", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each set once a chunk, cut at the bounds of the fragments of the global order."""
@@ -367,7 +432,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
             if len(seen) > HELD_KEYS:
                 seen = set()
 
-    chosen = narrow.join(wanted, "print", "left_semi").mapInArrow(sets, "s long, fragment int, part array<long>")
+    chosen = candidates.mapInArrow(sets, "s long, fragment int, part array<long>")
     groups = compared.select("root", "low", "high", "s", "block").join(chosen, "s")
     pair = ["root", "low", "high"]
     partial = groups.groupBy(*pair, "fragment").applyInArrow(_partial, PARTIAL)
@@ -393,7 +458,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     Rows that repeat a kept id with a text of the same component all stay, as do rows with a null id.
     """
     found = _labelled(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), "id", "text", n, percent)
+    gone = cut(found.where("component_id < id").select("id", "print").distinct())
+    text = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
+    listed = among(F.xxhash64(col(id_col), text), gone.select(F.xxhash64("id", "print")))
+    if listed is not None:
+        return docs.where(col(id_col).isNull() | ~listed)
     names = {c: fresh(docs, c) for c in ("id", "print")}
-    gone = cut(found.where("component_id < id").select(*[F.col(c).alias(v) for c, v in names.items()]).distinct())
-    same = (col(id_col) == F.col(names["id"])) & (F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col(names["print"]))
-    return docs.join(gone, same, "left_anti")
+    gone = gone.select(*[F.col(c).alias(v) for c, v in names.items()])
+    return docs.join(gone, (col(id_col) == F.col(names["id"])) & (text == F.col(names["print"])), "left_anti")
