@@ -546,6 +546,26 @@ def test_substring_dedup_short_runs_are_not_filled_up(spark):
     assert all(r.length >= 50 and r.similarity >= 0.8 for r in found)
 
 
+@pytest.mark.parametrize("others", [20, 60])
+def test_substring_dedup_similar_passages_of_common_words(spark, others):
+    """Similar passages without 50 equal words in a row, all of whose equal runs also stand in many other texts."""
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts: list[list[str]] = []
+    for i in range(10):
+        passage = text(60)
+        edited = [w if k % 12 != 11 else f"e{i}x{k}" for k, w in enumerate(passage)]
+        texts += [text(30) + passage + text(9), text(5) + edited + text(50)]
+        passages = [passage[k : k + 11] for k in range(0, 60, 12)]
+        texts += [text(20) + run + text(20) for run in passages for _ in range(others)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    frame = spark.createDataFrame([(order[i], " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r.doc_id, r.other_id) for r in substring_dedup.shared_passages(frame).collect()}
+    step = 2 + 5 * others
+    assert found == {(order[i * step + k], order[i * step + 1 - k]) for i in range(10) for k in (0, 1)}
+
+
 def test_operators_take_text_ids_and_odd_columns(spark, tokenizer_path):
     """Ids that are text, white-space texts, and columns named like those that operators make."""
     rows = [("a", "one two three four five", 1, 2), ("b", " \t\n", 1, 2), ("c", None, 1, 2)]
