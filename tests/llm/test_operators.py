@@ -566,6 +566,30 @@ def test_substring_dedup_similar_passages_of_common_words(spark, others):
     assert found == {(order[i * step + k], order[i * step + 1 - k]) for i in range(10) for k in (0, 1)}
 
 
+def test_substring_dedup_pairs_of_repeated_words():
+    """A word repeated n times gives few pairs of seeds, not one for each distance; keys of no interest are left out before that."""
+    words = np.full(2000, 7, np.uint64)
+    seed, at = substring_dedup.seed_places(words, np.array([0, 2000]), substring_dedup.K, substring_dedup.WINDOW)
+    seed, text = seed.view(np.int64), np.zeros(len(at), np.int64)
+    key, first, gap = substring_dedup.seed_couples(seed, text, at)
+    assert len(set(key.tolist())) == 1 and len(key) <= 5 * (2000 // substring_dedup.PAIR_APART + 1)
+    assert {g // substring_dedup.PAIR_SHIFT for g in gap.tolist()} == {1, 2, 3, 4}
+    assert all(len(c) == len(key) for c in substring_dedup.seed_couples(seed, text, at, np.unique(key)))
+    assert not any(len(c) for c in substring_dedup.seed_couples(seed, text, at, np.unique(key) + 1))
+
+
+def test_substring_dedup_runs_of_one_word(spark):
+    """A text of one word over and over, and one of shorter runs of it, of which many others have one: both are linked, the others are not."""
+    rng = random.Random(13)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    runs = [w for k in range(4) for w in [*["the"] * 30, f"x{k}"]]
+    texts = [text(20) + ["the"] * 400 + text(20), text(60) + runs + text(30), *(text(40) + ["the"] * 25 + text(40) for _ in range(40))]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = substring_dedup.shared_passages(frame).collect()
+    assert {(r.doc_id, r.other_id) for r in found} == {(0, 1), (1, 0)}
+    assert all(r.similarity >= 0.8 and min(r.length, r.other_length) >= 50 for r in found)
+
+
 def test_operators_take_text_ids_and_odd_columns(spark, tokenizer_path):
     """Ids that are text, white-space texts, and columns named like those that operators make."""
     rows = [("a", "one two three four five", 1, 2), ("b", " \t\n", 1, 2), ("c", None, 1, 2)]
